@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from folioscope.llm import mixing, sharding
+from folioscope.llm import langid, licenses, mixing, pii, sharding
 
 QUERIES = {
+    "op6_langid": langid.op6_langid,
     "op7_mixing": mixing.op7_mixing,
+    "op8_pii": pii.op8_pii,
+    "op9_licenses": licenses.op9_licenses,
     "op10_sharding": sharding.op10_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_licenses": licenses.oracle_sql(),
+}
