@@ -147,10 +147,11 @@ def oracle_sql(base: tuple[Template, ...] = BASE, more: tuple[Template, ...] = M
     named = (*base, *more)
 
     def places(t: Template) -> str:
-        n = len(t.words)
         same = " + ".join(f"coalesce((w[s + {j + 1}] = '{x}')::int, 0)" for j, x in enumerate(t.words))
         keys = "".join(f" and w[s + {o + 1} : s + {o + len(k)}] = [{', '.join(repr(x) for x in k)}]" for o, k in t.key_offsets())
-        return f"list_filter(list_transform(list_filter(range(len(w)), lambda s: true{keys}), lambda s: {{'start': s, 'agreed': {same}}}), lambda x: x.agreed >= {t.needed})" if n else "[]"
+        own = sorted(set(t.words))  # a place needs all but the words that may be wrong
+        enough = f"len(list_intersect(w, [{', '.join(repr(x) for x in own)}])) >= {max(1, len(own) - t.may_miss)}"
+        return f"case when {enough} then list_filter(list_transform(list_filter(range(len(w)), lambda s: true{keys}), lambda s: {{'start': s, 'agreed': {same}}}), lambda x: x.agreed >= {t.needed}) else [] end"
 
     cols = ",\n  ".join(f"{places(t)} as t{i}" for i, t in enumerate(named))
     nb = len(base)

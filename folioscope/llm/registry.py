@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from folioscope.llm import langid, licenses, mixing, pii, sharding
+from folioscope.llm import langid, licenses, mixing, pii, sharding, urlrules
 
 QUERIES = {
+    "op3_urlrules": urlrules.op3_urlrules,
     "op6_langid": langid.op6_langid,
     "op7_mixing": mixing.op7_mixing,
     "op8_pii": pii.op8_pii,
@@ -13,5 +14,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_urlrules": urlrules.ORACLE_SQL,
     "op9_licenses": licenses.oracle_sql(),
 }
