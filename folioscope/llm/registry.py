@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from folioscope.llm import langid, licenses, mixing, pii, sharding, urlrules
+from folioscope.llm import langid, licenses, mixing, pii, sharding, topk, urlrules
 
 QUERIES = {
+    "op1_topk": topk.op1_topk,
     "op3_urlrules": urlrules.op3_urlrules,
     "op6_langid": langid.op6_langid,
     "op7_mixing": mixing.op7_mixing,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_topk": topk.ORACLE_SQL,
     "op3_urlrules": urlrules.ORACLE_SQL,
     "op9_licenses": licenses.oracle_sql(),
 }
