@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from folioscope.llm import langid, licenses, mixing, neardup, pii, sharding, topk, urlrules
+from folioscope.llm import langid, licenses, mixing, neardup, pii, sharding, substrings, topk, urlrules
 
 QUERIES = {
     "op1_topk": topk.op1_topk,
     "op3_urlrules": urlrules.op3_urlrules,
+    "op4_substrings": substrings.op4_substrings,
     "op5_neardup": neardup.op5_neardup,
     "op6_langid": langid.op6_langid,
     "op7_mixing": mixing.op7_mixing,

@@ -45,3 +45,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the files of materialized tables that nothing reads any more."""
+    for df in frames:
+        for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if "/folioscope/" in path:
+                _remove(df.sparkSession, path)
