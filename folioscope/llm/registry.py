@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from folioscope.llm import langid, licenses, mixing, neardup, pii, sharding, substrings, topk, urlrules
+from folioscope.llm import decontaminate, langid, licenses, mixing, neardup, pii, sharding, substrings, topk, urlrules
 
 QUERIES = {
     "op1_topk": topk.op1_topk,
+    "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_urlrules": urlrules.op3_urlrules,
     "op4_substrings": substrings.op4_substrings,
     "op5_neardup": neardup.op5_neardup,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_substrings": substrings.ORACLE_SQL,
     "op1_topk": topk.ORACLE_SQL,
     "op3_urlrules": urlrules.ORACLE_SQL,
     "op9_licenses": licenses.oracle_sql(),

@@ -19,6 +19,8 @@ K1, K2, K3 = U64(0x9E3779B97F4A7C15), U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133
 MASKS = np.array([(1 << (8 * n)) - 1 for n in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+MARKS = np.zeros(256, dtype=bool)  # ASCII that is neither a letter nor a digit
+MARKS[[x for x in range(128) if not chr(x).isalnum()]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -76,12 +78,16 @@ class Words:
         return out
 
 
-def words_of(texts: pa.Array, lower: bool) -> Words:
+def words_of(texts: pa.Array, lower: bool, plain: bool = False) -> Words:
+    """``lower`` folds A-Z; ``plain`` also folds Latin-1 letters and breaks words at every ASCII mark."""
     buf, offsets = raw_bytes(texts)
     n = len(buf)
     padded = np.zeros(n + 8, np.uint8)
-    padded[:n] = LOWER[buf] if lower else buf
-    space = SPACE[buf]
+    padded[:n] = LOWER[buf] if lower or plain else buf
+    if plain and n:
+        upper = np.flatnonzero((buf[:-1] == 0xC3) & (buf[1:] >= 0x80) & (buf[1:] <= 0x9E) & (buf[1:] != 0x97)) + 1
+        padded[upper] += 0x20
+    space = (MARKS if plain else SPACE)[buf]
     before, after = np.ones(n + 1, bool), np.ones(n + 1, bool)  # is the byte before or after a break?
     before[1:] = space
     after[: max(0, n - 1)] = space[1:]
