@@ -9,11 +9,13 @@ the Jaccard similarity, and concentrate like independent ones.
 
 Coordinates are banded so that a pair at the threshold shares no band with a
 probability below ``MISS``.  Documents with equal sets are one class; only one
-of each class is banded.  Inside a bucket a growing number of centres is compared
-exactly with the members of other components; components are contracted after
-each round, a bucket whose members are all in one component is finished, and a
-centre that has met its whole bucket leaves it.  So every link that joins two
-components is found, without forming all pairs of a large group.
+of each class is banded.  Inside a bucket a few centres are compared exactly with
+the members of other components; components are contracted after each round, a
+bucket whose members are all in one component is finished, and a centre that has
+met its whole bucket leaves it.  Members still in different components after
+that are compared in blocks of bounded size: a task counts the common shingles
+of two blocks at once and returns only links that join components.  So every
+link between components is found, and pairs never become rows.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -34,7 +37,8 @@ from folioscope.llm.textvec import K1, U64, batches, grams, mix, words_of
 
 ROWS = 5  # coordinates in a band
 MISS = 1e-9
-GROWTH = 3  # factor by which the centres of a bucket grow each round
+CENTRES = (1, 3)  # centres of a bucket in the rounds before what is left is compared in blocks
+BLOCK = 256  # members of a bucket in one block
 
 
 def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
@@ -142,26 +146,87 @@ def packed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return own.join(wanted, "rep").select("rep", "text").mapInArrow(pack, "rep long, packed binary")
 
 
+def merged(links: DataFrame, known: DataFrame | None) -> DataFrame:
+    return links if known is None else links.union(known.select(F.col("node").alias("a"), F.col("component").alias("b")))
+
+
+def block_links(sets: list[np.ndarray], component: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs of rows in different components that are linked, as a forest."""
+    names, count = np.unique(component, return_counts=True)
+    outer = np.flatnonzero(component != names[count.argmax()])  # two members of the largest need no check
+    if not len(outer):
+        return []
+    size = np.array([len(s) for s in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = seen[column] > 1
+    owner, column = owner[common], (np.cumsum(seen > 1) - 1)[column[common]]
+    both = np.zeros((len(outer), len(sets)), np.int64)
+    for low in range(0, int(column.max(initial=-1)) + 1, 8192):
+        own = (column >= low) & (column < low + 8192)
+        x = np.zeros((len(sets), 8192), np.float32)
+        x[owner[own], column[own] - low] = 1
+        both += np.rint(x[outer] @ x.T).astype(np.int64)
+    linked = (100 * both >= percent * (size[outer][:, None] + size[None, :] - both)) & (both > 0)
+    linked &= component[outer][:, None] != component[None, :]
+    root = {c: c for c in names.tolist()}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    out = []
+    for i, j in zip(*np.nonzero(linked), strict=True):
+        a, b = find(int(component[outer[i]])), find(int(component[j]))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((int(outer[i]), int(j)))
+    return out
+
+
+def compared_in_blocks(at: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) between different components of ``at(key, rep, component)``, bucket by bucket.
+
+    A bucket is dealt into blocks of about ``BLOCK`` members, and every two
+    blocks meet in one group."""
+    blocks = at.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    own = at.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    own = own.join(texts, "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = own.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "rep", "component", "packed")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        unpack = zstandard.ZstdDecompressor()
+        sets = shingle_sets(pa.array([unpack.decompress(x) for x in pdf["packed"]], pa.binary()), k)
+        rep = pdf["rep"].to_numpy()
+        found = block_links(sets, pdf["component"].to_numpy(), percent)
+        return pd.DataFrame({"a": [rep[i] for i, _ in found], "b": [rep[j] for _, j in found]}, dtype="int64")
+
+    return met.groupBy("key", "lo", "hi").applyInPandas(compare, "a long, b long")
+
+
 def link_classes(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame | None:
     """(node, component) of the linked classes of ``reps(rep, n, bands)``; None where there are none."""
     banded = reps.select(F.explode("bands").alias("key"), "rep", "n")
     shared = banded.groupBy("key").count().where("count > 1").select("key")
     rest = materialize(banded.join(shared, "key"), "near-buckets")
     texts = materialize(packed_texts(docs, rest.select("rep").distinct()), "near-texts")
-    known, tried, take, turn = None, None, 1, 0
-    while True:
+    known, tried = None, None
+    for take in (*CENTRES, None):
         if known is None:
-            at = rest.withColumn("component", F.col("rep")).withColumn("members", F.lit(1).cast("long"))
+            at = rest.withColumn("component", F.col("rep"))
         else:
-            sizes = known.join(known.groupBy("component").agg(F.count(F.lit(1)).alias("members")), "component").select(F.col("node").alias("rep"), "component", "members")
-            at = rest.join(sizes, "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"), F.coalesce("members", F.lit(0)).alias("members"))
+            at = rest.join(known.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
             at = materialize(at, "near-at")
         mixed = at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
         at = materialize(at.join(mixed, "key"), "near-mixed")
         if at.isEmpty():
             return known
-        # first any members, later those of small components, which are the ones left over
-        order = [F.xxhash64("rep"), F.col("rep")] if turn < 3 else [F.col("members"), F.xxhash64("rep"), F.col("rep")]
+        if take is None:
+            links = materialize(compared_in_blocks(at, texts, k, percent), "near-links")
+            return known if links.isEmpty() else components(merged(links, known), "near")
+        order = [F.xxhash64("rep"), F.col("rep")]
         centres = at.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(*order))).where(F.col("place") <= take)
         centres = materialize(centres.select("key", F.col("rep").alias("centre"), F.col("n").alias("centre_n"), F.col("component").alias("centre_component")), "near-centres")
         fits = 100 * F.least("n", "centre_n") >= percent * F.greatest("n", "centre_n")
@@ -172,12 +237,11 @@ def link_classes(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> Data
         pairs = materialize(pairs, "near-pairs")
         links = materialize(verified(pairs, texts, k, percent), "near-links")
         if not links.isEmpty():
-            edges = links if known is None else links.union(known.select(F.col("node").alias("a"), F.col("component").alias("b")))
-            known = components(edges, "near")
+            known = components(merged(links, known), "near")
         tried = pairs if tried is None else tried.union(pairs)
         left = at.join(centres.select("key", F.col("centre").alias("rep")), ["key", "rep"], "left_anti").select("key", "rep", "n")
         rest = materialize(left, "near-rest")
-        take, turn = take * GROWTH, turn + 1
+    return known
 
 
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame:
