@@ -8,7 +8,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BOUNDARY = r"(?<![\p{L}\p{N}\p{M}_])"
+BOUNDARY = r"(?<![\p{L}\p{N}_])"
 
 
 def normalized_term(term: str) -> str:

@@ -52,7 +52,7 @@ def status(themes: list[dict], records: DataFrame, inheritance: DataFrame, chron
         parts += theme_lines(at, theme, records, chronology, documents)
 
     inh = with_documents(inheritance, documents)
-    marks = F.concat_ws(", ", F.when("stale", "stale"), F.when(F.col("coverage") == "partial", "partial"))
+    marks = F.concat_ws(", ", F.when(F.col("stale"), "stale"), F.when(F.col("coverage") == "partial", "partial"))
     engagement = F.concat(F.lit("- `"), "commentary", F.lit("` - "), F.size("engagements").cast("string"), F.lit(" engagements"), F.when(marks != "", F.concat(F.lit(" ("), marks, F.lit(")"))).otherwise(""))
     n = inh.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("engagements")), F.lit(0)).alias("e"))
     by_path = F.row_number().over(Window.partitionBy().orderBy("path"))
