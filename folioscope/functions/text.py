@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Letters that become several; fixed values.
 GREEK_PAIRS = {"θ": "th", "φ": "ph", "χ": "ch", "ψ": "ps"}
@@ -16,13 +17,13 @@ GREEK_TO = "abgdezeiklmnxoprsstyo"
 UNDATED = 9999
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     """Unicode compatibility composition; no built-in does it."""
     return text.map(lambda t: None if t is None else t if t.isascii() else unicodedata.normalize("NFKC", t))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkd_plain(text: pd.Series) -> pd.Series:
     """Compatibility decomposition without combining marks."""
 

@@ -28,9 +28,9 @@ def read_documents(spark: SparkSession, root: str) -> DataFrame:
     """``root/<author>/*.md`` as (author, slug, path, content, sha256, text).
 
     The digest is that of the bytes; ``text`` has universal newlines."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.md").load(f"{root.rstrip('/')}/*/")
+    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/*.md")
     path = decoded_path(F.col("path"))
-    text = F.regexp_replace(F.decode("content", F.lit("UTF-8")), "\r\n?", "\n")
+    text = F.regexp_replace(F.decode("content", "UTF-8"), "\r\n?", "\n")
     return document_rows(files.select(path.alias("path"), "content", text.alias("text")))
 
 

@@ -13,14 +13,14 @@ FILE = "path string, modificationTime timestamp, length long, content binary"
 
 def new_files(spark: SparkSession, root: str) -> DataFrame:
     """A stream of the markdown files that appear below ``root/<author>/``."""
-    return spark.readStream.format("binaryFile").schema(FILE).option("pathGlobFilter", "*.md").load(f"{root.rstrip('/')}/*/")
+    return spark.readStream.format("binaryFile").schema(FILE).load(f"{root.rstrip('/')}/*/*.md")
 
 
 def index_stream(spark: SparkSession, root: str, out: str, checkpoint: str, site: str = ""):
     """Index what is new since the last run and stop; sections need whole files, so each batch is indexed as one."""
 
     def one_batch(files: DataFrame, batch: int) -> None:
-        text = F.regexp_replace(F.decode("content", F.lit("UTF-8")), "\r\n?", "\n")
+        text = F.regexp_replace(F.decode("content", "UTF-8"), "\r\n?", "\n")
         rows = document_rows(files.select(decoded_path(F.col("path")).alias("path"), "content", text.alias("text")))
         documents, sections = index_documents(rows, site)
         documents.write.mode("overwrite").parquet(f"{out}/documents/batch={batch}")  # a batch that is repeated replaces itself
