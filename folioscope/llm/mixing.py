@@ -130,3 +130,16 @@ def mix_documents(docs: DataFrame, **kwargs) -> DataFrame:
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:
     return mixing_schedule(spark.read.parquet(f"{sf_dir}/documents.parquet"), max_repeat=4.0)
+
+
+ORACLE_SQL = r"""
+with d as (select doc_id, source, greatest(1, len(regexp_extract_all(coalesce(text, ''), '[^ \x09-\x0D]+')))::bigint as n_tokens, ('0x' || substr(md5('0:' || doc_id), 1, 15))::bigint as rank from documents),
+t as (select source, sum(n_tokens)::bigint as total from d group by 1),
+m as (select sum(total)::double as whole, max(total)::double as most, min(total)::double as least from t),
+x as (select case when most = least then 1.0::double when ln(most / least) <= ln(4.0::double) then 0.0::double else ceil((1 - ln(4.0::double) / ln(most / least)) * 1e6) / 1e6 end as a from m),
+z as (select sum(pow(total / whole, a)) as z from t, m, x),
+q as (select source, total, round(pow(total / whole, a) / z, 9) as weight, a as exponent, greatest(total, floor(total * pow(most / total, 1 - a) + 1e-6)::bigint) as quota from t, m, x, z),
+s as (select d.*, weight, exponent, quota // total as whole, quota % total as rest, coalesce(sum(n_tokens) over (partition by d.source order by rank, doc_id, n_tokens rows between unbounded preceding and 1 preceding), 0) as start from d join q using (source)),
+p as (select *, unnest(range(0, whole + (start < rest)::int)) as pass from s)
+select doc_id, source, n_tokens, pass::bigint as pass, (row_number() over (partition by source, pass order by rank, doc_id, n_tokens) - 1)::bigint as position, weight, exponent from p
+"""

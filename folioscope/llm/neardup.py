@@ -283,3 +283,18 @@ def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFram
 
 def op5_neardup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), 3, 85)
+
+
+ORACLE_SQL = """
+with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+s as (select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')] else list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) end) as g from w),
+n as (select doc_id, count(*) as n, md5(string_agg(g, '|' order by g)) as k from s group by 1),
+e as (select k, count(*) as n_equal from n group by 1),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as i from s a join s b using (g) where a.doc_id < b.doc_id group by 1, 2),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * i >= 85 * (x.n + y.n - i)),
+edges as (select a, b from l union all select b, a from l),
+r(x, y) as (select doc_id, doc_id from documents union select r.x, edges.b from r join edges on edges.a = r.y),
+c as (select x as doc_id, min(y) as component_id from r group by 1)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, d.doc_id = component_id as kept, coalesce(n_equal, 1)::bigint as n_equal
+from documents d join c using (doc_id) left join n using (doc_id) left join e using (k)
+"""

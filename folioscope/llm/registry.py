@@ -19,6 +19,8 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op4_substrings": substrings.ORACLE_SQL,
+    "op5_neardup": neardup.ORACLE_SQL,
+    "op7_mixing": mixing.ORACLE_SQL,
     "op1_topk": topk.ORACLE_SQL,
     "op3_urlrules": urlrules.ORACLE_SQL,
     "op9_licenses": licenses.oracle_sql(),
