@@ -105,7 +105,7 @@ def mixing_schedule(docs: DataFrame, max_repeat: float | None = 4.0, target_entr
     plan = sources.select("_source", F.round(weight, 9).alias("weight"), F.expr("total").alias("_total"), quota.alias("_quota")).withColumn("_whole", F.expr("_quota div _total")).withColumn("_rest", F.expr("_quota % _total"))
 
     # where in the permutation the last, partial pass of each source stops
-    slices = max(16, buckets_for(n))
+    slices = max(16, buckets_for(n, 4000))
     slice_of = F.expr(f"cast(_rank div {-(-(1 << 60) // slices)} as int)")
     cells = narrow.groupBy("_source", slice_of.alias("_slice")).agg(F.sum("_tokens").alias("_sum"))
     before = Window.partitionBy("_source").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -63,14 +63,15 @@ class Blocks:
 
 
 def _split(groups: DataFrame, windows: list[tuple[int, int]], blocks: int) -> list[tuple[int, int, int]]:
-    """Totals of equal-width key ranges inside the given key windows."""
+    """Totals of equal-width key ranges inside each of the given key ranges (ascending, apart)."""
     each = max(2, blocks // len(windows))
-    key, part = F.col("key").cast("decimal(38,0)"), F.lit(None).cast("decimal(38,0)")
-    for w, (lo, hi) in enumerate(windows):
-        width = max(1, -(-(hi - lo + 1) // each))
-        inside = F.col("key").between(lo, hi)
-        part = F.when(inside, F.floor((key - F.lit(lo).cast("decimal(38,0)")) / F.lit(width).cast("decimal(38,0)")) + w * (each + 1)).otherwise(part)
-    found = groups.select("key", "bytes", part.alias("part")).where("part is not null").groupBy("part").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.sum("bytes").alias("bytes"))
+    longs = lambda items: F.array(*(F.lit(x).cast("decimal(38,0)") for x in items))
+    rows = groups.select("key", "bytes", F.size(F.filter(longs(lo for lo, _ in windows), lambda x: x <= F.col("key"))).alias("nth")).where("nth > 0")
+    own = lambda items: F.element_at(longs(items), F.col("nth"))
+    offset = F.col("key").cast("decimal(38,0)") - own([lo for lo, _ in windows])
+    part = F.floor(offset / own([max(1, -(-(hi - lo + 1) // each)) for lo, hi in windows])) + F.col("nth") * (each + 2)
+    groups = rows.where(F.col("key") <= own([hi for _, hi in windows])).withColumn("part", part)
+    found = groups.groupBy("part").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.sum("bytes").alias("bytes"))
     return sorted((r["lo"], r["hi"], r["bytes"]) for r in found.collect())  # at most `blocks` rows and one for each window
 
 
@@ -97,14 +98,8 @@ def minimax_cuts(groups: DataFrame, shards: int, blocks: int = BLOCKS) -> tuple[
             at = known.cuts(low, shards, False)
             keys = [known.items[bisect_right(known.ends, p)][0] for p in at[:-1] if p < known.total]
             return low, keys
-        windows: list[tuple[int, int]] = []
-        for i in sorted(touched):  # neighbours become one window
-            lo, hi, _ = known.items[i]
-            if windows and i - 1 in touched:
-                windows[-1] = (windows[-1][0], hi)
-            else:
-                windows.append((lo, hi))
-        finer = _split(groups, windows, blocks)
+        # every touched block is split on its own, so that each round makes all of them smaller
+        finer = _split(groups, [known.items[i][:2] for i in sorted(touched)], blocks)
         known = Blocks(sorted([x for i, x in enumerate(known.items) if i not in touched] + finer))
 
 
