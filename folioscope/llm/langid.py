@@ -130,10 +130,11 @@ class CrossParser:
                 c = codes[begin[:n] + step]
                 to = flat[state[:n] * np.int32(self.alphabet) + c]
                 stop = np.flatnonzero(to < 0)
-                count[stop] += 1  # the phrase ends before this letter, which starts the next one
-                to[stop] = np.maximum(flat[c[stop]], 0)
+                again = flat[c[stop]]  # the phrase ends before this letter, which starts the next one
+                count[stop] += (state[stop] > 0).astype(np.int32) + (again < 0)  # or is one, where it was never seen
+                to[stop] = np.maximum(again, 0)
                 state[:n] = to
-            out[:, which] = np.bincount(text, weights=count + 1, minlength=len(size)).astype(np.int64)
+            out[:, which] = np.bincount(text, weights=count + (state > 0), minlength=len(size)).astype(np.int64)
         return out
 
 

@@ -392,5 +392,5 @@ def test_licences(spark, docs, no_docs):
     out = {r["doc_id"]: r for r in licenses.scan_licenses(clashing(docs.select("doc_id", "text").unionByName(spark.createDataFrame([(400 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")))).collect()}
     got = [(out[400 + i]["n_base"], out[400 + i]["first_word"], out[400 + i]["last_word"], out[400 + i]["base_labels"], out[400 + i]["labels"]) for i in range(len(texts))]
     assert got == [(3, 2, 6, "mit", "mit"), (3, 0, 9, "cc-by,gpl", "cc-by,gpl"), (1, 0, 0, "apache", "apache,mpl"), (0, None, None, "", "mit"), (0, None, None, "", ""), (0, None, None, "", ""), (0, None, None, "", ""), (0, None, None, "", ""), (0, None, None, "", ""), (0, None, None, "", "lgpl")]
-    assert out[400]["n_words"] == 9 and out[400]["score"] == 1.0 and out[406]["n_words"] == 0
+    assert out[400]["n_words"] == 8 and out[400]["score"] == 1.0 and out[406]["n_words"] == 0
     assert licenses.scan_licenses(no_docs).count() == 0
