@@ -18,7 +18,7 @@ from folioscope.operators import secrets, toc, validation
 from folioscope.operators import search as S
 from folioscope.operators.schema_check import schema_problems
 from folioscope.operators.sections import ancestor_path
-from folioscope.plans import fixtures, ledger, status
+from folioscope.plans import fixtures, goldens, ledger, status
 from folioscope.sources.reports import differences
 
 THEMES = {"care": ["thand", "then", "in the"], "being": ["onat", "erth"], "path": ["für", "über", "mit", "pour"]}
@@ -315,20 +315,20 @@ def fixture_violations(spark: SparkSession) -> DataFrame:
     return validation.validate(documents, sections, *fixtures.registries(spark), files, extractions, inheritance, fixtures.SCHEMAS)
 
 
-@query()
+@query(values(validation.COLUMNS, goldens.VIOLATIONS))
 def violations(spark, sf_dir):
     """Every rule on the invented corpus, whose records have planted defects."""
     return fixture_violations(spark)
 
 
-@query()
+@query(values(["ordinal", "line"], list(enumerate(goldens.LEDGER.split("\n"), 1))))
 def ledger_lines(spark, sf_dir):
     """The ledger of the theme care, line by line."""
     documents, sections = fixtures.documents(spark)
     return ledger.ledger(fixtures.THEMES[0], fixtures.record_tables(spark)[0].where("units is not null"), fixtures.registries(spark)[1], documents, sections)
 
 
-@query()
+@query(values(["ordinal", "line"], list(enumerate(goldens.STATUS.split("\n"), 1))))
 def status_lines(spark, sf_dir):
     """The status report, line by line."""
     documents, sections = fixtures.documents(spark)
