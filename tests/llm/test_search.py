@@ -6,6 +6,7 @@ import os
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import clashing
 from pyspark.sql import functions as F
@@ -65,7 +66,13 @@ def test_equals_sql(spark, name):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want, got = con.execute(registry.ORACLE_SQL[name]).df(), registry.QUERIES[name](spark, SF).toPandas()
     assert sorted(want.columns) == sorted(got.columns)
-    plain = lambda df: sorted((tuple(None if x is None or x != x else int(x) if isinstance(x, float) and x == int(x) else x for x in r) for r in df[sorted(df.columns)].itertuples(index=False)), key=repr)
+
+    def plain(df):
+        def cell(x):
+            return None if not isinstance(x, str) and pd.isna(x) else int(x) if isinstance(x, float) and x == int(x) else x
+
+        return sorted((tuple(map(cell, r)) for r in df[sorted(df.columns)].itertuples(index=False)), key=repr)
+
     assert plain(want) == plain(got)
 
 
