@@ -44,7 +44,7 @@ def status(themes: list[dict], records: DataFrame, inheritance: DataFrame, chron
     """(ordinal, line) of the report; ``themes`` are the rows of the theme registry, as dicts."""
     one = documents.sparkSession.range(1)
     size = documents.agg(F.count(F.lit(1)).alias("d"), F.coalesce(F.sum("words"), F.lit(0)).alias("w")).crossJoin(sections.agg(F.count(F.lit(1)).alias("n")))
-    corpus = F.concat(F.lit("Corpus: **"), s("d"), F.lit(" commentaries**, "), F.format_number("w", 0), F.lit(" words, "), s("n"), F.lit(" sections indexed in `synthesis/corpus.json`."))
+    corpus = F.concat(F.lit("Corpus: **"), s("d"), F.lit(" commentaries**, "), F.format_number("w", 0), F.lit(" words, "), s("n"), F.lit(" sections indexed in `records/index`."))
     parts = [
         fragment(size, [0], F.array(F.lit("# Synthesis status"), F.lit(""), F.lit("*Generated. Do not edit by hand.*"), F.lit(""), corpus, F.lit(""), F.lit("## Themes"), F.lit(""))),
     ]
@@ -68,7 +68,7 @@ def status(themes: list[dict], records: DataFrame, inheritance: DataFrame, chron
     by_theme = F.row_number().over(Window.partitionBy().orderBy("theme", "path"))
     parts += [
         fragment(some, [6], F.array(F.lit("## Stale records"), F.lit(""), F.lit("The commentary changed after the pass ran. Quotes are no longer guaranteed; re-extract and update `source_sha256`."), F.lit(""))),
-        fragment(stale.withColumn("nth", by_theme), [7, F.col("nth")], F.array(F.concat(F.lit("- [ ] `synthesis/extractions/"), "theme", F.lit("/"), "commentary", F.lit(".json`")))),
+        fragment(stale.withColumn("nth", by_theme), [7, F.col("nth")], F.array(F.concat(F.lit("- [ ] `records/extractions/"), "theme", F.lit("/"), "commentary", F.lit(".json`")))),
         fragment(some, [8], F.array(F.lit(""))),
     ]
     open_dates = last_entry(chronology).where("status = 'unresolved' and role <> 'output'")
