@@ -32,10 +32,11 @@ PASSAGE = 64  # words in a row of the matrix
 RANK, OVERSAMPLE = 64, 16
 LEAST_SCALE = 16
 STEPS = 4  # windows begin at every quarter of their length
-COSINE = 0.45
+COSINE = 0.3
 COPY = 0.8  # share of an item's words in common that makes a copy
 PARAPHRASE = 0.6  # share that makes a paraphrase, where the answer agrees
 ANSWER = 0.8
+DENSE = 1 << 22  # cells of the table of item words; beyond it sorted pairs take its place
 SHORT = 8  # items with fewer words must occur word for word
 
 
@@ -225,31 +226,44 @@ class Search:
                 own.setdefault(scale_of(len(w)), []).append((i, z / np.linalg.norm(z)))
         for scale, found in own.items():
             self.by_scale[scale] = np.array([i for i, _ in found]), np.array([z for _, z in found], np.float32)
-        # for each item the places of its different words, 64 to a number: [items, numbers, words]
-        places_needed = max((len(set(w)) for w in self.words), default=1)
-        self.bits = np.zeros((len(self.words), max(1, -(-places_needed // 64)), len(self.all_words.hashes) + 1), np.uint64)
-        self.need = np.zeros(len(self.words), np.int64)
+        self.need, each = np.zeros(len(self.words), np.int64), []
         for i, w in enumerate(items.words):
-            different = np.unique(w)
-            number = self.all_words.numbers(different)
-            place = np.arange(len(different))
-            self.bits[i, place // 64, number] = U64(1) << (place % 64).astype(np.uint64)
-            self.need[i] = -int(-PARAPHRASE * len(w) // 1) - (len(w) - len(different))
+            each.append(np.sort(self.all_words.numbers(np.unique(w))).astype(np.int64))
+            self.need[i] = -int(-PARAPHRASE * len(w) // 1) - (len(w) - len(each[i]))
+        self.width = len(self.all_words.hashes) + 1
+        chunks = max(1, -(-max(map(len, each), default=1) // 64))
+        self.bits, self.pairs = None, None
+        if len(each) * chunks * self.width <= DENSE:  # the places of each item's words, 64 to a number: [items, numbers, words]
+            self.bits = np.zeros((len(each), chunks, self.width), np.uint64)
+            for i, number in enumerate(each):
+                place = np.arange(len(number))
+                self.bits[i, place // 64, number] = U64(1) << (place % 64).astype(np.uint64)
+        else:  # (item, word) pairs, as one sorted array of numbers
+            self.pairs = np.concatenate([i * self.width + number for i, number in enumerate(each)])
 
     def enough(self, item: np.ndarray, begin: np.ndarray, end: np.ndarray, numbers: np.ndarray) -> np.ndarray:
         """Whether the words begin..end hold as many different words of the item as a leak needs."""
         out = np.zeros(len(item), bool)
         width = int((end - begin).max(initial=0))
-        for at in range(0, len(item), 8192):
-            part = slice(at, at + 8192)
+        step = max(1, min(8192, (1 << 20) // max(1, width)))
+        for at in range(0, len(item), step):
+            part = slice(at, at + step)
             place = begin[part, None] + np.arange(width)[None, :]
             number = np.where(place < end[part, None], numbers[np.minimum(place, len(numbers) - 1)], -1)
-            count = 0
-            for chunk in range(self.bits.shape[1]):
-                count = count + np.bitwise_count(np.bitwise_or.reduce(self.bits[item[part, None], chunk, number], axis=1)).astype(np.int64)
-            out[part] = count >= self.need[item[part]]
+            out[part] = self.different(item[part, None], number) >= self.need[item[part]]
         return out
 
+    def different(self, item: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """How many different words of the row's item are among the row's word numbers (-1: none)."""
+        if self.bits is not None:
+            return sum(np.bitwise_count(np.bitwise_or.reduce(self.bits[item, chunk, number], axis=1)).astype(np.int64) for chunk in range(self.bits.shape[1]))
+        key = item.astype(np.int64) * self.width + number
+        found = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        found = np.sort(np.where((number >= 0) & (self.pairs[found] == key), found, -1), axis=1)
+        new = found >= 0
+        new[:, 1:] &= found[:, 1:] != found[:, :-1]
+        return new.sum(1)
+
     def settle(self, item: int, words: list[int]) -> tuple[int, bool] | None:
         """(words in common, is the answer there), or None where the item is not in ``words``."""
         n = len(self.words[item])

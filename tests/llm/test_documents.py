@@ -318,6 +318,21 @@ def test_leaks(spark, docs, rows):
     assert kept.count() == len(rows) and kept.columns == docs.columns
 
 
+def test_item_words_in_both_layouts(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 90, n)) for n in (9, 40, 300, 8)]
+    items = decontaminate.Items(list(range(4)), decontaminate.hashed(texts), decontaminate.hashed(texts))
+    none = decontaminate.Vocabulary(np.zeros(0, np.uint64)), np.zeros((0, 1), np.float32)
+    dense = decontaminate.Search(items, *none)
+    monkeypatch.setattr(decontaminate, "DENSE", 0)
+    sparse = decontaminate.Search(items, *none)
+    assert dense.bits is not None and sparse.bits is None
+    item = rng.integers(0, 4, (50, 1))
+    number = rng.integers(-1, len(dense.all_words.hashes), (50, 70))
+    expected = [len(set(n.tolist()) & set(dense.all_words.numbers(items.words[i]).tolist())) for (i,), n in zip(item, number, strict=True)]
+    assert dense.different(item, number).tolist() == sparse.different(item, number).tolist() == expected
+
+
 def test_no_leaks(spark, docs, no_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_leaks(docs, none).count() == 0
