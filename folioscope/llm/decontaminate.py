@@ -37,6 +37,7 @@ COPY = 0.8  # share of an item's words in common that makes a copy
 PARAPHRASE = 0.6  # share that makes a paraphrase, where the answer agrees
 ANSWER = 0.8
 DENSE = 1 << 22  # cells of the table of item words; beyond it sorted pairs take its place
+SEARCHED = 700_000  # bytes of text searched at once, so that window sums stay in the processor's caches
 SHORT = 8  # items with fewer words must occur word for word
 
 
@@ -245,7 +246,7 @@ class Search:
         """Whether the words begin..end hold as many different words of the item as a leak needs."""
         out = np.zeros(len(item), bool)
         width = int((end - begin).max(initial=0))
-        step = max(1, min(8192, (1 << 20) // max(1, width)))
+        step = max(1, (1 << 18) // max(1, width))
         for at in range(0, len(item), step):
             part = slice(at, at + step)
             place = begin[part, None] + np.arange(width)[None, :]
@@ -253,6 +254,20 @@ class Search:
             out[part] = self.different(item[part, None], number) >= self.need[item[part]]
         return out
 
+    def plausible(self, text: np.ndarray, item: np.ndarray, begin: np.ndarray, low: np.ndarray, high: np.ndarray, end: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """Which candidates may hold enough: up to four neighbours with one item are looked at as one stretch."""
+        if not len(item):
+            return np.zeros(0, np.int64)
+        near = (text[1:] == text[:-1]) & (item[1:] == item[:-1]) & (begin[1:] >= begin[:-1]) & (4 * (begin[1:] - begin[:-1]) <= end[1:] - begin[1:])
+        first = np.flatnonzero(np.concatenate([[True], ~near]))
+        nth = np.arange(len(item)) - np.repeat(first, np.diff(np.append(first, len(item))))
+        group = np.flatnonzero(nth % 4 == 0)
+        size = np.diff(np.append(group, len(item)))
+        low, high, item = np.minimum.reduceat(low, group), np.maximum.reduceat(high, group), item[group]
+        fine = high - low >= self.need[item]
+        fine[fine] = self.enough(item[fine], low[fine], high[fine], numbers)
+        return np.flatnonzero(np.repeat(fine, size))
+
     def different(self, item: np.ndarray, number: np.ndarray) -> np.ndarray:
         """How many different words of the row's item are among the row's word numbers (-1: none)."""
         if self.bits is not None:
@@ -276,37 +291,58 @@ class Search:
         answer = common_subsequence(self.answer_masks[item], len(own), words) >= ANSWER * len(own)
         return (lcs, answer) if answer or lcs >= COPY * n else None
 
+    def windows(self, first: np.ndarray, known: np.ndarray, word: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(scale, first run of each text, [directions, runs] sums of the window that begins at each run).
+
+        The runs of a scale are pairs of the runs of the scale before it."""
+        scale, largest = min(self.by_scale), max(self.by_scale)
+        base, run = spread(first, scale // STEPS)
+        n = int(base[-1])
+        sums, run = np.empty((len(self.space), n), np.float32), run[known]
+        for c, row in enumerate(self.space):
+            sums[c] = np.bincount(run, weights=row[word], minlength=n)
+        while True:
+            local = np.arange(n) - np.repeat(base[:-1], np.diff(base))
+            left = np.repeat(np.diff(base), np.diff(base)) - local  # runs up to the end of the text
+            window = sums
+            for shift in (1, 2):
+                own = window.copy()
+                own[:, : n - shift] += window[:, shift:] * (left[: n - shift] > shift).astype(np.float32)
+                if shift == 1:
+                    pairs = own
+                window = own
+            yield scale, base, window
+            if scale == largest:
+                return
+            sums = pairs[:, local % 2 == 0]
+            base = np.concatenate([[0], np.cumsum(-(-np.diff(base) // 2))])
+            scale, n = 2 * scale, int(base[-1])
+
+    def candidates(self, first: np.ndarray, number: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """(text, item, first word, end) of windows near an item in the latent space."""
+        known = np.flatnonzero(number >= 0)
+        if not len(known) or not self.by_scale:
+            return
+        for scale, base, window in self.windows(first, known, number[known]):
+            if scale not in self.by_scale:
+                continue
+            own, z = self.by_scale[scale]
+            size = np.linalg.norm(window, axis=0)
+            limit = np.where(size > 1e-9, COSINE * size, np.inf)
+            for low in range(0, len(size), 16384):
+                col, row = np.nonzero(z @ window[:, low : low + 16384] >= limit[low : low + 16384])
+                text = np.searchsorted(base, row + low, side="right") - 1
+                begin = first[text] + (row + low - base[text]) * (scale // STEPS) - scale // 2
+                yield text, own[col], begin, begin + 2 * scale
+
     def leaks(self, w) -> dict[tuple[int, int], tuple[int, bool]]:
         """(text, item) -> (words in common, answer) of a batch of words."""
         hashes = w.hashes()
-        number = self.vocabulary.numbers(hashes)
-        known = np.flatnonzero(number >= 0)
         found: dict[tuple[int, int], tuple[int, bool]] = {}
         numbers = self.all_words.numbers(hashes)
-        parts: list[tuple[np.ndarray, ...]] = []  # (text, item, first word, end) of candidates
-        for scale, (own, z) in self.by_scale.items():
-            step = scale // STEPS
-            base, run = spread(w.first, step)
-            n = int(base[-1])
-            if not n or not len(known):
-                continue
-            run, word = run[known], number[known]
-            last = np.repeat(base[1:], np.diff(base))
-            window = np.zeros((n, len(self.space)), np.float32)
-            for c, row in enumerate(self.space):
-                window[:, c] = np.bincount(run, weights=row[word], minlength=n)
-            sums, at = window.copy(), np.arange(n)
-            for q in range(1, STEPS):
-                inside = np.flatnonzero(at + q < last)
-                window[inside] += sums[inside + q]
-            size = np.linalg.norm(window, axis=1)
-            live = np.flatnonzero(size > 1e-9)
-            for low in range(0, len(live), 16384):
-                some = live[low : low + 16384]
-                row, col = np.nonzero(window[some] @ z.T >= COSINE * size[some, None])
-                text = np.searchsorted(base, some[row], side="right") - 1
-                begin = w.first[text] + (some[row] - base[text]) * step - scale // 2
-                parts.append((text, own[col], begin, begin + 2 * scale))
+        before = np.concatenate([[0], np.cumsum(numbers >= 0)])  # words of any item before each word
+        numbers = numbers[numbers >= 0].astype(np.int64)
+        parts = list(self.candidates(w.first, self.vocabulary.numbers(hashes)))
         for word, items in self.blind.items():
             at = np.flatnonzero(hashes == U64(word))
             for i in items:
@@ -314,7 +350,9 @@ class Search:
                 parts.append((w.text[at], np.full(len(at), i), at - reach, at + reach + 1))
         for text, item, begin, end in parts:
             begin, end = np.maximum(begin, w.first[text]), np.minimum(end, w.first[text + 1])
-            hit = np.flatnonzero(self.enough(item, begin, end, numbers))
+            low, high = before[begin], before[end]
+            some = self.plausible(text, item, begin, low, high, end, numbers)
+            hit = some[self.enough(item[some], low[some], high[some], numbers)]
             for t, i, a, b in zip(text[hit].tolist(), item[hit].tolist(), begin[hit].tolist(), end[hit].tolist(), strict=True):
                 said = self.settle(i, hashes[a:b].tolist())
                 if said and said > found.get((t, i), (-1, False)):
@@ -351,7 +389,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def search(it: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             who = shared.value
-            for batch in batches(it, "text", 2_000_000):
+            for batch in batches(it, "text", SEARCHED):
                 ids = batch.column(0).to_pylist()
                 found = [(ids[t], who.ids[i], c, len(who.words[i]), a) for (t, i), (c, a) in who.leaks(words_of(batch.column(1), lower=True, plain=True)).items()]
                 yield pa.RecordBatch.from_pylist([{"doc_id": d, "item_id": i, "common_words": c, "item_words": n, "share": c / n, "answer": a} for d, i, c, n, a in found], pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("common_words", pa.int64()), ("item_words", pa.int64()), ("share", pa.float64()), ("answer", pa.bool_())]))
