@@ -234,11 +234,11 @@ class Search:
         self.width = len(self.all_words.hashes) + 1
         chunks = max(1, -(-max(map(len, each), default=1) // 64))
         self.bits, self.pairs = None, None
-        if len(each) * chunks * self.width <= DENSE:  # the places of each item's words, 64 to a number: [items, numbers, words]
-            self.bits = np.zeros((len(each), chunks, self.width), np.uint64)
+        if len(each) * chunks * self.width <= DENSE:  # the places of each item's words, 64 to a number: [numbers, items x words]
+            self.bits = np.zeros((chunks, len(each) * self.width), np.uint64)
             for i, number in enumerate(each):
                 place = np.arange(len(number))
-                self.bits[i, place // 64, number] = U64(1) << (place % 64).astype(np.uint64)
+                self.bits[place // 64, i * self.width + number] = U64(1) << (place % 64).astype(np.uint64)
         else:  # (item, word) pairs, as one sorted array of numbers
             self.pairs = np.concatenate([i * self.width + number for i, number in enumerate(each)])
 
@@ -271,7 +271,8 @@ class Search:
     def different(self, item: np.ndarray, number: np.ndarray) -> np.ndarray:
         """How many different words of the row's item are among the row's word numbers (-1: none)."""
         if self.bits is not None:
-            return sum(np.bitwise_count(np.bitwise_or.reduce(self.bits[item, chunk, number], axis=1)).astype(np.int64) for chunk in range(self.bits.shape[1]))
+            at = item * self.width + number  # -1 meets the last, empty column of the item before
+            return sum(np.bitwise_count(np.bitwise_or.reduce(bits.take(at), axis=1)).astype(np.int64) for bits in self.bits)
         key = item.astype(np.int64) * self.width + number
         found = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
         found = np.sort(np.where((number >= 0) & (self.pairs[found] == key), found, -1), axis=1)
