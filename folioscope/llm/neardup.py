@@ -15,7 +15,8 @@ bucket whose members are all in one component is finished, and a centre that has
 met its whole bucket leaves it.  Members still in different components after
 that are compared in blocks of bounded size: a task counts the common shingles
 of two blocks at once and returns only links that join components.  So every
-link between components is found, and pairs never become rows.
+link between components is found, and pairs never become rows; but each block
+meets every other of its bucket, so n such members make n * n / BLOCK rows.
 """
 
 from __future__ import annotations
@@ -273,12 +274,15 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame
 def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that are kept, unchanged; of rows that share a doc_id, one."""
     found = near_duplicates(docs, k, percent)
-    gone = found.where("not kept").select("doc_id").distinct()
-    stay = docs.join(materialize(gone, "near-gone"), "doc_id", "left_anti")
+    gone = materialize(found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
+    stay = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
     if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
         return stay
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns)))
-    return stay.where("doc_id is not null").withColumn("_nth", first).where("_nth = 1").drop("_nth").unionByName(stay.where("doc_id is null"))
+    nth = "_nth"
+    while nth.lower() in (c.lower() for c in docs.columns):
+        nth += "_"
+    return stay.where("doc_id is not null").withColumn(nth, first).where(F.col(nth) == 1).drop(nth).unionByName(stay.where("doc_id is null"))
 
 
 def op5_neardup(spark, sf_dir: str) -> DataFrame:

@@ -298,6 +298,14 @@ def test_no_substrings(no_docs, docs):
     assert "kept_text" in substrings.remove_repeats(docs, with_text=True).columns
 
 
+def test_kept_rows_stay_as_they_are(spark, docs):
+    extra = docs.select("text", "lang", F.lit(1).alias("_nth"), F.lit(2).alias("_gone"), "doc_id")
+    kept = neardup.keep_one_of_each(extra)
+    assert kept.columns == extra.columns
+    seen = Counter(r["doc_id"] for r in kept.collect())
+    assert seen[4] == seen[5] == seen[6] == seen[None] == 1 and not seen.keys() & {*range(70, 75)}
+
+
 # --- benchmark leaks
 
 
