@@ -9,6 +9,11 @@ projects overlapping windows, compares them with the items by cosine in the
 latent space, and settles every candidate by its longest common subsequence of
 words with the item, and for paraphrases by the item's answer.
 
+A latent space of bounded rank keeps little of some items, so windows also become
+candidates by rare words: of each item (or its answer) as many as may be missing
+in a leak, and two more, so that a leak holds two of them.
+No window that holds a leak is passed over, whatever its cosine.
+
 The items are the stated query set.  They are taken in blocks of at most
 ``ITEMS``, so that what is broadcast has a bound.
 """
@@ -17,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +45,7 @@ ANSWER = 0.8
 DENSE = 1 << 22  # cells of the table of item words; beyond it sorted pairs take its place
 SEARCHED = 700_000  # bytes of text searched at once, so that window sums stay in the processor's caches
 SHORT = 8  # items with fewer words must occur word for word
+HITS = 1 << 20  # places of rare words looked at in one step
 
 
 @dataclass
@@ -204,10 +211,43 @@ def scale_of(n: int) -> int:
     return max(LEAST_SCALE, 1 << (n - 1).bit_length())
 
 
+@dataclass
+class Probe:
+    """Words of an item of which a leak holds ``least`` positions at least."""
+
+    item: int
+    words: list[int]
+    repeated: list[bool]  # the word has several positions in the item
+    least: int
+
+
+def rarest(words: np.ndarray, missing: int, cost: np.ndarray) -> tuple[list[int], list[bool], int, float]:
+    """The cheapest word numbers with two positions more than may be ``missing``, or as many as there are."""
+    word, count = np.unique(words, return_counts=True)
+    order = np.lexsort((word, cost[word]))
+    word, count = word[order], count[order]
+    upto = min(int(np.searchsorted(np.cumsum(count), missing + 2)) + 1, len(word))
+    word, count = word[:upto], count[:upto]
+    return word.tolist(), (count > 1).tolist(), min(2, int(count.sum()) - missing), float(cost[word].sum())
+
+
+def probes_of(item: int, words: np.ndarray, answer: np.ndarray, cost: np.ndarray) -> list[Probe]:
+    """Probes one of which is met by every leak: a copy, or a paraphrase with its answer. Words are numbers."""
+    n, a = len(words), len(answer)
+    copy, loose = (rarest(words, n + int(-share * n // 1), cost) for share in (COPY, PARAPHRASE))
+    if a and np.isin(answer, words).all():
+        sure = rarest(answer, a + int(-ANSWER * a // 1), cost)
+        if copy[3] + sure[3] < loose[3]:
+            return [Probe(item, *copy[:3]), Probe(item, *sure[:3])]
+    return [Probe(item, *loose[:3])]
+
+
 class Search:
-    """Items in the latent space, and what is needed to settle candidates."""
+    """Items in the latent space, and what is needed to settle candidates.
 
-    def __init__(self, items: Items, vocabulary: Vocabulary, space: np.ndarray):
+    ``df``: in how many passages each word of the vocabulary is; it orders the rare words and decides nothing."""
+
+    def __init__(self, items: Items, vocabulary: Vocabulary, space: np.ndarray, df: np.ndarray | None = None):
         self.vocabulary, self.space, self.ids = vocabulary, np.ascontiguousarray(space.T.astype(np.float64)), items.ids
         self.all_words = Vocabulary(np.unique(np.concatenate([*items.words, np.zeros(0, np.uint64)])))
         self.words = [w.tolist() for w in items.words]
@@ -241,6 +281,21 @@ class Search:
                 self.bits[place // 64, i * self.width + number] = U64(1) << (place % 64).astype(np.uint64)
         else:  # (item, word) pairs, as one sorted array of numbers
             self.pairs = np.concatenate([i * self.width + number for i, number in enumerate(each)])
+        number = vocabulary.numbers(self.all_words.hashes)
+        cost = np.full(len(number), 1e12)  # words in many items
+        cost[number >= 0] = 1 if df is None else df[number[number >= 0]] + 1
+        near = {i for ids, _ in self.by_scale.values() for i in ids.tolist()}
+        probes = [p for i in sorted(near) for p in probes_of(i, self.all_words.numbers(items.words[i]), self.all_words.numbers(items.answers[i]), cost)]
+        size = [len(p.words) for p in probes]
+        self.probe_item = np.array([p.item for p in probes], np.int64)
+        self.probe_least = np.array([p.least for p in probes], np.int64)
+        self.item_scale = np.array([scale_of(max(1, len(w))) for w in self.words], np.int64)
+        self.probe_scale = self.item_scale[self.probe_item]
+        self.anchor_probe = np.repeat(np.arange(len(probes)), size)
+        self.anchor_word = np.array([w for p in probes for w in p.words], np.int64)
+        self.anchor_repeated = np.array([r for p in probes for r in p.repeated], bool)
+        self.is_anchor = np.zeros(self.width, bool)  # the last place is that of unknown words
+        self.is_anchor[self.anchor_word] = True
 
     def enough(self, item: np.ndarray, begin: np.ndarray, end: np.ndarray, numbers: np.ndarray) -> np.ndarray:
         """Whether the words begin..end hold as many different words of the item as a leak needs."""
@@ -336,12 +391,60 @@ class Search:
                 begin = first[text] + (row + low - base[text]) * (scale // STEPS) - scale // 2
                 yield text, own[col], begin, begin + 2 * scale
 
+    def anchored(self, first: np.ndarray, numbers: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """(text, item, first word, end) of every window with the rare words that a leak of the item holds.
+
+        The windows are those of ``candidates``."""
+        at = np.flatnonzero(self.is_anchor[numbers])
+        word = numbers[at]
+        by_word = at[np.argsort(word, kind="stable")]
+        count = np.bincount(word, minlength=self.width)
+        begin = np.cumsum(count) - count
+        live = np.flatnonzero(count[self.anchor_word])
+        if not len(live):
+            return
+        size = count[self.anchor_word[live]]
+        upto, cut = np.cumsum(size), np.flatnonzero(np.diff(self.anchor_probe[live], append=-1)) + 1  # ends of probes
+        low = 0
+        while low < len(live):
+            fits = np.searchsorted(upto[cut - 1], (upto[low - 1] if low else 0) + HITS, side="right")
+            high = int(max(cut[fits - 1] if fits else 0, cut[np.searchsorted(cut, low, side="right")]))
+            own, n = live[low:high], size[low:high]
+            pair = np.repeat(np.arange(low, high), n)
+            place = by_word[np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[self.anchor_word[own]], n)]
+            order = np.argsort(self.anchor_probe[live[pair]] * (len(numbers) + 1) + place)
+            yield self.around(first, live[pair[order]], place[order])
+            low = high
+
+    def around(self, first: np.ndarray, anchor: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The windows around enough ``place``s of a probe's words; the places of each probe are in order."""
+        probe = self.anchor_probe[anchor]
+        least, scale = self.probe_least[probe], self.probe_scale[probe]
+        alone = np.flatnonzero(least < 2)
+        two = (least[:-1] >= 2) & (probe[1:] == probe[:-1]) & (place[1:] - place[:-1] < 2 * scale[:-1])
+        two = np.flatnonzero(two & ((anchor[1:] != anchor[:-1]) | self.anchor_repeated[anchor[1:]]))
+        left, right, probe = np.concatenate([place[alone], place[two]]), np.concatenate([place[alone], place[two + 1]]), np.concatenate([probe[alone], probe[two]])
+        text = np.searchsorted(first, left, side="right") - 1
+        same = right < first[text + 1]
+        left, right, probe, text = left[same], right[same], probe[same], text[same]
+        step = self.probe_scale[probe] // STEPS
+        run = ((right - first[text]) // step - 5)[:, None] + np.arange(8)[None, :]  # windows begin two steps before their run and are eight steps long
+        fine = (run >= 0) & (run <= ((left - first[text]) // step + 2)[:, None]) & (run * step[:, None] < (first[text + 1] - first[text])[:, None])
+        row, col = np.nonzero(fine)
+        key = np.unique(self.probe_item[probe[row]] * (first[-1] + 1) + first[text[row]] + run[row, col])
+        item, where = key // (first[-1] + 1), key % (first[-1] + 1)
+        text = np.searchsorted(first, where, side="right") - 1
+        scale = self.item_scale[item]
+        start = first[text] + (where - first[text]) * (scale // STEPS) - scale // 2
+        return text, item, start, start + 2 * scale
+
     def leaks(self, w) -> dict[tuple[int, int], tuple[int, bool]]:
         """(text, item) -> (words in common, answer) of a batch of words."""
         hashes = w.hashes()
         found: dict[tuple[int, int], tuple[int, bool]] = {}
         numbers = self.all_words.numbers(hashes)
         before = np.concatenate([[0], np.cumsum(numbers >= 0)])  # words of any item before each word
+        anchored = self.anchored(w.first.astype(np.int64), numbers)
         numbers = numbers[numbers >= 0].astype(np.int64)
         parts = list(self.candidates(w.first, self.vocabulary.numbers(hashes)))
         for word, items in self.blind.items():
@@ -349,7 +452,7 @@ class Search:
             for i in items:
                 reach = len(self.words[i])
                 parts.append((w.text[at], np.full(len(at), i), at - reach, at + reach + 1))
-        for text, item, begin, end in parts:
+        for text, item, begin, end in chain(parts, anchored):
             begin, end = np.maximum(begin, w.first[text]), np.minimum(end, w.first[text + 1])
             low, high = before[begin], before[end]
             some = self.plausible(text, item, begin, low, high, end, numbers)
@@ -383,10 +486,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         if not any(len(w) for w in items.words):
             continue
         vocabulary = benchmark_vocabulary(items)
-        space = np.zeros((len(vocabulary.hashes), 1), np.float32)
+        space, df = np.zeros((len(vocabulary.hashes), 1), np.float32), None
         if len(vocabulary.hashes):
-            space = latent_space(vocabulary, *corpus_sketch(rows, vocabulary, RANK + OVERSAMPLE), RANK)
-        shared = spark.sparkContext.broadcast(Search(items, vocabulary, space))
+            passages, df, back = corpus_sketch(rows, vocabulary, RANK + OVERSAMPLE)
+            space = latent_space(vocabulary, passages, df, back, RANK)
+        shared = spark.sparkContext.broadcast(Search(items, vocabulary, space, df))
 
         def search(it: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             who = shared.value

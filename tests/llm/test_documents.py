@@ -341,6 +341,49 @@ def test_item_words_in_both_layouts(monkeypatch):
     assert dense.different(item, number).tolist() == sparse.different(item, number).tolist() == expected
 
 
+def leaks_of_all_windows(search, texts):
+    """What comparing every window with every item finds."""
+    w = words_of(pa.array(texts), lower=True, plain=True)
+    found = {}
+    for t, own in enumerate(np.split(w.hashes(), w.first[1:-1])):
+        for i, item in enumerate(search.words):
+            scale = decontaminate.scale_of(len(item))
+            for begin in range(-(scale // 2), len(own) - scale // 2, scale // 4):
+                said = search.settle(i, own[max(0, begin) : begin + 2 * scale].tolist())
+                if said:
+                    found[t, i] = max(said, found.get((t, i), (-1, False)))
+    return found
+
+
+def leaky(rng, item: list[str]) -> str:
+    """Some of an item's words in their order, with words between them."""
+    kept = [x for x in item if rng.random() < rng.choice([0.65, 0.8, 0.9, 1])]
+    for _ in range(rng.integers(0, 5)):
+        kept.insert(rng.integers(0, len(kept) + 1), "between")
+    return " ".join(kept)
+
+
+@pytest.mark.parametrize("hits", [1 << 20, 5])
+@pytest.mark.parametrize("kinds", [60, 3000])
+def test_no_leak_depends_on_the_latent_space(monkeypatch, hits, kinds):
+    monkeypatch.setattr(decontaminate, "HITS", hits, raising=False)
+    rng = np.random.default_rng(kinds)
+    own = [[f"w{x}" for x in rng.integers(0, kinds, n)] for n in rng.integers(8, 60, 40)]
+    own[:2] = ["same word again".split() * 5, ["one"] * 12]
+    around = [" ".join(f"{'w' if k % 3 else 'v'}{x}" for x in rng.integers(0, kinds, 50)) for k in range(160)]
+    texts = ["", *(f"{a} {leaky(rng, own[k % 40])} {around[k // 2]}" for k, a in enumerate(around)), ""]
+    lines = [" ".join(x[:-4]) + "\n" + " ".join(x[-4:]) if k % 2 else " ".join(x) for k, x in enumerate(own)]
+    items = decontaminate.Items(list(range(40)), decontaminate.hashed(lines), decontaminate.hashed([decontaminate.answer_of(x) for x in lines]))
+    vocabulary = decontaminate.Vocabulary(np.unique(np.concatenate(items.words)))
+    space = np.abs(rng.normal(size=(len(vocabulary.hashes), 1))).astype(np.float32) * np.where(np.arange(len(vocabulary.hashes)) % 2, 1, -1)[:, None]
+    search = decontaminate.Search(items, vocabulary, space)
+    expected = leaks_of_all_windows(search, texts)
+    assert len(expected) > 80
+    assert search.leaks(words_of(pa.array(texts), lower=True, plain=True)) == expected
+    search.by_scale = {}  # not one window is near an item
+    assert search.leaks(words_of(pa.array(texts), lower=True, plain=True)) == expected
+
+
 def test_no_leaks(spark, docs, no_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_leaks(docs, none).count() == 0
