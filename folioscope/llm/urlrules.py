@@ -2,8 +2,8 @@
 
 URLs become sets of tokens: host labels, path segments (digits as ``#``), query
 keys, a fragment mark.  FP-growth over the labelled URLs finds token
-combinations; those with enough support and confidence for "block" become
-rules, and a rule goes again where leaving out one of its tokens does not lower
+combinations of any size; those with enough support and confidence for "block"
+become rules, and a rule goes again where leaving out one of its tokens does not lower
 its confidence.  Each rule is indexed under its rarest token, so that a URL only
 meets rules whose rarest token it has.  Fixed host rules are applied first.
 """
@@ -48,7 +48,7 @@ def url_tokens() -> Column:
         if(contains(_rest, '#'), array('f'), cast(array() as array<string>)))))""")
 
 
-def mine_rules(labelled: DataFrame, least: int, one_in: int, min_confidence: float, longest: int) -> DataFrame:
+def mine_rules(labelled: DataFrame, least: int, one_in: int, min_confidence: float) -> DataFrame:
     """Rules (tokens, rarest, support, confidence) from ``labelled(tokens, bad)``.
 
     A rule needs ``least`` bad rows with all its tokens, and one of every
@@ -63,7 +63,7 @@ def mine_rules(labelled: DataFrame, least: int, one_in: int, min_confidence: flo
     if count > n:
         return spark.createDataFrame([], schema)
     model = FPGrowth(itemsCol="items", minSupport=(count - 0.5) / n, minConfidence=1.0).fit(rows)
-    sets = materialize(model.freqItemsets.where(F.size("items") <= longest + 1).select(F.array_sort("items").alias("items"), "freq"), "url-itemsets")
+    sets = materialize(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "url-itemsets")
     whole = sets.where(~F.array_contains("items", BLOCK)).select(F.col("items").alias("tokens"), F.col("freq").alias("all"))
     with_block = sets.where(F.array_contains("items", BLOCK) & (F.size("items") > 1)).select(F.array_remove("items", BLOCK).alias("tokens"), F.col("freq").alias("support"))
     sure = with_block.join(whole, "tokens").withColumn("confidence", F.col("support") / F.col("all")).where(F.col("support") >= F.lit(min_confidence) * F.col("all"))
@@ -77,7 +77,7 @@ def mine_rules(labelled: DataFrame, least: int, one_in: int, min_confidence: flo
     return kept.join(rarest, "tokens").select("tokens", "rarest", "support", "confidence")
 
 
-def judge_urls(pages: DataFrame, labels: DataFrame, rules: dict[str, str] | None = None, least: int = 10, one_in: int = 1000, min_confidence: float = 0.6, longest: int = 3) -> DataFrame:
+def judge_urls(pages: DataFrame, labels: DataFrame, rules: dict[str, str] | None = None, least: int = 10, one_in: int = 1000, min_confidence: float = 0.6) -> DataFrame:
     """A verdict for each row of ``pages(page_id, url)``.
 
     ``labels(page_id, bad)`` marks some pages; a page with several labels is bad
@@ -91,7 +91,7 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules: dict[str, str] | None
     rows = url_parts(pages.select("page_id", "url")).withColumn("tokens", url_tokens()).withColumn("rule", host_rule(rules))
     rows = rows.select(F.col("page_id").cast("long").alias("page_id"), "host", "path", "rule", "tokens")
     known = labels.where(F.col("page_id").isNotNull() & F.col("bad").isNotNull()).groupBy("page_id").agg(F.bool_or("bad").alias("bad"))
-    mined = materialize(mine_rules(rows.join(known, "page_id").select("tokens", "bad"), least, one_in, min_confidence, longest), "url-rules")
+    mined = materialize(mine_rules(rows.join(known, "page_id").select("tokens", "bad"), least, one_in, min_confidence), "url-rules")
 
     sets = rows.select("tokens").distinct()
     index = mined.select(F.col("rarest").alias("token"), F.col("tokens").alias("wanted"), "support", "confidence")

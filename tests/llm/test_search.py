@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from itertools import combinations
 
 import duckdb
 import numpy as np
@@ -58,6 +59,25 @@ def test_mined_rules(spark):
     assert {r["mined_rule"] for r in out.values()} <= {None, "h:casino", "p:win"}  # longer rules are no surer
 
 
+def test_rules_of_any_length(spark):
+    urls = [f"http://{a}.{b}.org/{c}?{d}=1" for a in ("a", "b") for b in ("c", "d") for c in ("e", "f") for d in ("g", "h")] * 12
+    rows = [(i, u) for i, u in enumerate(urls)]
+    labels = [(i, i % 16 == 0 or i % 16 == 6 and i % 3 > 0 or i % 16 == 15 and i < 160) for i in range(len(urls))]
+    out = {r["page_id"]: r for r in urlrules.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad boolean"), {}).collect()}
+    tokens = [frozenset(f"h:{a} h:{b} h:org p:{c} q:{d}".split()) for a in "ab" for b in "cd" for c in "ef" for d in "gh"] * 12
+    sure = {}
+    for w in {frozenset(c) for t in set(tokens) for n in range(1, 6) for c in combinations(sorted(t), n)}:
+        bad = [b for t, (_, b) in zip(tokens, labels, strict=True) if w <= t]
+        if sum(bad) >= 10 and sum(bad) >= 0.6 * len(bad):
+            sure[w] = (sum(bad) / len(bad), sum(bad))
+    kept = {w: s for w, s in sure.items() if not any(sure.get(w - {t}, (0, 0))[0] >= s[0] for t in w)}
+    assert max(map(len, kept)) == 4
+    for i, t in enumerate(tokens):
+        best = max(((*s, " ".join(sorted(w))) for w, s in kept.items() if w <= t), default=(None, None, None))
+        assert (out[i]["verdict"], out[i]["mined_rule"], out[i]["confidence"]) == ("block" if best[2] else "allow", best[2], best[0])
+    assert out[0]["mined_rule"] == "h:a h:c p:e q:g"
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_equals_sql(spark, name):
