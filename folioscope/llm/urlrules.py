@@ -48,21 +48,20 @@ def url_tokens() -> Column:
         if(contains(_rest, '#'), array('f'), cast(array() as array<string>)))))""")
 
 
-def mine_rules(labelled: DataFrame, least: int, one_in: int, min_confidence: float) -> DataFrame:
+def mine_rules(labelled: DataFrame, least: int, min_confidence: float) -> DataFrame:
     """Rules (tokens, rarest, support, confidence) from ``labelled(tokens, bad)``.
 
-    A rule needs ``least`` bad rows with all its tokens, and one of every
-    ``one_in`` labelled rows.  No labelled rows, or none that is bad: no rules."""
+    A rule needs ``least`` bad rows with all its tokens, however many rows are
+    labelled.  No labelled rows, or none that is bad: no rules."""
     spark = labelled.sparkSession
     rows = materialize(labelled.where(F.size("tokens") > 0).select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BLOCK)))).otherwise(F.col("tokens")).alias("items")), "url-items")
     schema = "tokens array<string>, rarest string, support long, confidence double"
     if rows.where(F.array_contains("items", BLOCK)).isEmpty():
         return spark.createDataFrame([], schema)
     n = rows.count()
-    count = max(least, -(-n // one_in))
-    if count > n:
+    if least > n:
         return spark.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=(count - 0.5) / n, minConfidence=1.0).fit(rows)
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=1.0).fit(rows)
     sets = materialize(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "url-itemsets")
     whole = sets.where(~F.array_contains("items", BLOCK)).select(F.col("items").alias("tokens"), F.col("freq").alias("all"))
     with_block = sets.where(F.array_contains("items", BLOCK) & (F.size("items") > 1)).select(F.array_remove("items", BLOCK).alias("tokens"), F.col("freq").alias("support"))
@@ -77,7 +76,7 @@ def mine_rules(labelled: DataFrame, least: int, one_in: int, min_confidence: flo
     return kept.join(rarest, "tokens").select("tokens", "rarest", "support", "confidence")
 
 
-def judge_urls(pages: DataFrame, labels: DataFrame, rules: dict[str, str] | None = None, least: int = 10, one_in: int = 1000, min_confidence: float = 0.6) -> DataFrame:
+def judge_urls(pages: DataFrame, labels: DataFrame, rules: dict[str, str] | None = None, least: int = 10, min_confidence: float = 0.6) -> DataFrame:
     """A verdict for each row of ``pages(page_id, url)``.
 
     ``labels(page_id, bad)`` marks some pages; a page with several labels is bad
@@ -91,7 +90,7 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules: dict[str, str] | None
     rows = url_parts(pages.select("page_id", "url")).withColumn("tokens", url_tokens()).withColumn("rule", host_rule(rules))
     rows = rows.select(F.col("page_id").cast("long").alias("page_id"), "host", "path", "rule", "tokens")
     known = labels.where(F.col("page_id").isNotNull() & F.col("bad").isNotNull()).groupBy("page_id").agg(F.bool_or("bad").alias("bad"))
-    mined = materialize(mine_rules(rows.join(known, "page_id").select("tokens", "bad"), least, one_in, min_confidence), "url-rules")
+    mined = materialize(mine_rules(rows.join(known, "page_id").select("tokens", "bad"), least, min_confidence), "url-rules")
 
     sets = rows.select("tokens").distinct()
     index = mined.select(F.col("rarest").alias("token"), F.col("tokens").alias("wanted"), "support", "confidence")

@@ -78,6 +78,14 @@ def test_rules_of_any_length(spark):
     assert out[0]["mined_rule"] == "h:a h:c p:e q:g"
 
 
+def test_a_bad_host_is_blocked_in_a_large_table(spark):
+    n = 20_000
+    pages = spark.range(n).select(F.col("id").alias("page_id"), F.concat(F.lit("http://"), F.when(F.col("id") < 12, "spam").otherwise("fine"), F.lit(".org/x")).alias("url"))
+    labels = spark.range(n).select(F.col("id").alias("page_id"), (F.col("id") < 12).alias("bad"))
+    out = urlrules.judge_urls(pages, labels, {}).groupBy("verdict", "mined_rule", "confidence").count().collect()
+    assert {tuple(r) for r in out} == {("block", "h:spam", 1.0, 12), ("allow", None, None, n - 12)}
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_equals_sql(spark, name):
