@@ -254,7 +254,7 @@ class Search:
         self.masks = [places(w) for w in self.words]
         self.answers = [w.tolist() for w in items.answers]
         self.answer_masks = [places(w) for w in self.answers]
-        self.blind: dict[int, list[int]] = {}  # items looked for by a word: too short, or without a direction
+        self.blind: dict[int, list[int]] = {}  # items looked for around a word too: too short, or without a direction
         self.by_scale: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         own: dict[int, list[tuple[int, np.ndarray]]] = {}
         for i, w in enumerate(items.words):
@@ -284,8 +284,7 @@ class Search:
         number = vocabulary.numbers(self.all_words.hashes)
         cost = np.full(len(number), 1e12)  # words in many items
         cost[number >= 0] = 1 if df is None else df[number[number >= 0]] + 1
-        near = {i for ids, _ in self.by_scale.values() for i in ids.tolist()}
-        probes = [p for i in sorted(near) for p in probes_of(i, self.all_words.numbers(items.words[i]), self.all_words.numbers(items.answers[i]), cost)]
+        probes = [p for i, w in enumerate(self.words) if len(w) >= SHORT for p in probes_of(i, self.all_words.numbers(items.words[i]), self.all_words.numbers(items.answers[i]), cost)]
         size = [len(p.words) for p in probes]
         self.probe_item = np.array([p.item for p in probes], np.int64)
         self.probe_least = np.array([p.least for p in probes], np.int64)

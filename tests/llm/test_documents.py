@@ -384,6 +384,16 @@ def test_no_leak_depends_on_the_latent_space(monkeypatch, hits, kinds):
     assert search.leaks(words_of(pa.array(texts), lower=True, plain=True)) == expected
 
 
+def test_items_without_a_direction_are_found_without_their_first_word():
+    text = "alpha beta gamma delta epsilon zeta eta theta iota kappa lam mu"
+    items = decontaminate.Items([0, 1, 2, 3], decontaminate.hashed([text] * 4), decontaminate.hashed([decontaminate.answer_of(text)] * 4))
+    vocabulary = decontaminate.benchmark_vocabulary(items)
+    assert not len(vocabulary.hashes)
+    search = decontaminate.Search(items, vocabulary, np.zeros((0, 1), np.float32))
+    texts = [f"so {text.replace('alpha', 'other')} on", f"so {text.replace('alpha beta gamma delta', 'other')} on", "alpha beta gamma", text.replace(" theta iota kappa lam mu", "")]
+    assert {k for k in search.leaks(words_of(pa.array(texts), lower=True, plain=True))} == {(t, i) for t in (0, 1) for i in range(4)}
+
+
 def test_no_leaks(spark, docs, no_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_leaks(docs, none).count() == 0
