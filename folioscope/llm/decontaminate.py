@@ -20,6 +20,7 @@ The items are the stated query set.  They are taken in blocks of at most
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -33,7 +34,7 @@ from folioscope.llm.scratch import materialize
 from folioscope.llm.textvec import K1, U64, batches, mix, words_of
 
 ITEMS = 4000  # benchmark items in one broadcast
-ITEM_WORDS = 400_000  # and their words
+ITEM_WORDS = 100_000  # and their words: 65 MB of sums in the driver, 85 MB of tables in a task, at most
 PASSAGE = 64  # words in a row of the matrix
 RANK, OVERSAMPLE = 64, 16
 LEAST_SCALE = 16
@@ -153,14 +154,13 @@ def corpus_sketch(docs: DataFrame, vocabulary: Vocabulary, columns: int) -> tupl
 
     parts = docs.select("text").mapInArrow(sketch, "word long, df long, back array<long>")
     summed = parts.groupBy("word").agg(F.sum("df").alias("df"), *(F.sum(F.col("back")[i]).alias(f"b{i}") for i in range(columns)))
-    passages, df, back = 0, np.zeros(n_words), np.zeros((n_words, columns))
-    for r in summed.collect():  # a row for each word of the vocabulary
-        if r["word"] < 0:
-            passages = r["df"]
-        else:
-            df[r["word"]] = r["df"]
-            back[r["word"]] = [r[f"b{i}"] for i in range(columns)]
-    return passages, df, back
+    found = summed.toArrow()  # a row for each word of the vocabulary, ITEM_WORDS at most
+    word, count = found["word"].to_numpy(), found["df"].to_numpy()
+    df, back, real = np.zeros(n_words), np.zeros((n_words, columns)), word >= 0
+    df[word[real]] = count[real]
+    for i in range(columns):
+        back[word[real], i] = found[f"b{i}"].to_numpy()[real]
+    return int(count[~real].sum()), df, back
 
 
 def latent_space(vocabulary: Vocabulary, passages: int, df: np.ndarray, back: np.ndarray, rank: int) -> np.ndarray:
@@ -254,19 +254,24 @@ class Search:
         self.masks = [places(w) for w in self.words]
         self.answers = [w.tolist() for w in items.answers]
         self.answer_masks = [places(w) for w in self.answers]
-        self.blind: dict[int, list[int]] = {}  # items looked for around a word too: too short, or without a direction
+        blind: list[tuple[int, int]] = []  # (word, item): short items are looked for around one of their words
         self.by_scale: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         own: dict[int, list[tuple[int, np.ndarray]]] = {}
         for i, w in enumerate(items.words):
             number = vocabulary.numbers(w)
             z = space[number[number >= 0]].sum(0)
-            if len(w) and (len(w) < SHORT or not z.any()):
+            if 0 < len(w) < SHORT:
                 rare = w[number >= 0]
-                self.blind.setdefault(int(rare[0] if len(rare) else w[0]), []).append(i)
-            elif len(w):
+                blind.append((int(rare[0] if len(rare) else w[0]), i))
+            elif z.any():  # items without a direction are left to their rare words
                 own.setdefault(scale_of(len(w)), []).append((i, z / np.linalg.norm(z)))
         for scale, found in own.items():
             self.by_scale[scale] = np.array([i for i, _ in found]), np.array([z for _, z in found], np.float32)
+        self.blind = Vocabulary(np.unique(np.array([w for w, _ in blind], np.uint64)))
+        number = self.blind.numbers(np.array([w for w, _ in blind], np.uint64))
+        self.blind_item = np.array([i for _, i in blind], np.int64)[np.argsort(number, kind="stable")]
+        self.blind_begin = np.concatenate([[0], np.cumsum(np.bincount(number, minlength=len(self.blind.hashes)))]).astype(np.int64)
+        self.length = np.array([len(w) for w in self.words], np.int64)
         self.need, each = np.zeros(len(self.words), np.int64), []
         for i, w in enumerate(items.words):
             each.append(np.sort(self.all_words.numbers(np.unique(w))).astype(np.int64))
@@ -437,6 +442,18 @@ class Search:
         start = first[text] + (where - first[text]) * (scale // STEPS) - scale // 2
         return text, item, start, start + 2 * scale
 
+    def around_words(self, text: np.ndarray, hashes: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """(text, item, first word, end) around the word by which each short item is looked for; one look-up for all."""
+        number = self.blind.numbers(hashes)
+        at = np.flatnonzero(number >= 0)
+        size = np.diff(self.blind_begin)[number[at]]
+        step = max(1, HITS // int(size.max(initial=1)))
+        for low in range(0, len(at), step):
+            own, n = at[low : low + step], size[low : low + step]
+            place = np.repeat(own, n)
+            item = self.blind_item[np.repeat(self.blind_begin[number[own]], n) + np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n)]
+            yield text[place], item, place - self.length[item], place + self.length[item] + 1
+
     def leaks(self, w) -> dict[tuple[int, int], tuple[int, bool]]:
         """(text, item) -> (words in common, answer) of a batch of words."""
         hashes = w.hashes()
@@ -446,11 +463,7 @@ class Search:
         anchored = self.anchored(w.first.astype(np.int64), numbers)
         numbers = numbers[numbers >= 0].astype(np.int64)
         parts = list(self.candidates(w.first, self.vocabulary.numbers(hashes)))
-        for word, items in self.blind.items():
-            at = np.flatnonzero(hashes == U64(word))
-            for i in items:
-                reach = len(self.words[i])
-                parts.append((w.text[at], np.full(len(at), i), at - reach, at + reach + 1))
+        parts += self.around_words(w.text, hashes)
         for text, item, begin, end in chain(parts, anchored):
             begin, end = np.maximum(begin, w.first[text]), np.minimum(end, w.first[text + 1])
             low, high = before[begin], before[end]
@@ -463,20 +476,13 @@ class Search:
         return found
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Benchmark items in the rows of ``docs(doc_id, text)``; ``benchmark(item_id, text)``.
-
-    Returns doc_id, item_id, common_words (longest common subsequence, in
-    words), item_words, share, answer.  An item leaks where ``COPY`` of its
-    words are in common with a stretch about twice its length, or
-    ``PARAPHRASE`` of them and ``ANSWER`` of its answer's.  Null and empty texts
-    and items leak nothing; an item shorter than ``SHORT`` words must occur word
-    for word.  Rows that repeat a doc_id are joined into one result row.
-    """
+def leaks_by_row(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, digest, item_id, common_words, item_words, share, answer) of each row that leaks; digest: SHA-256 of its text."""
     spark = docs.sparkSession
     size = benchmark.agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0))).alias("words")).first()
     blocks = max(1, -(-size["n"] // ITEMS), -(-(size["words"] or 0) // ITEM_WORDS))
-    schema = "doc_id long, item_id long, common_words long, item_words long, share double, answer boolean"
+    fields = pa.schema([("doc_id", pa.int64()), ("digest", pa.string()), ("item_id", pa.int64()), ("common_words", pa.int64()), ("item_words", pa.int64()), ("share", pa.float64()), ("answer", pa.bool_())])
+    schema = "doc_id long, digest string, item_id long, common_words long, item_words long, share double, answer boolean"
     out = None
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     for block in range(blocks):
@@ -494,24 +500,40 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def search(it: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             who = shared.value
             for batch in batches(it, "text", SEARCHED):
-                ids = batch.column(0).to_pylist()
-                found = [(ids[t], who.ids[i], c, len(who.words[i]), a) for (t, i), (c, a) in who.leaks(words_of(batch.column(1), lower=True, plain=True)).items()]
-                yield pa.RecordBatch.from_pylist([{"doc_id": d, "item_id": i, "common_words": c, "item_words": n, "share": c / n, "answer": a} for d, i, c, n, a in found], pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("common_words", pa.int64()), ("item_words", pa.int64()), ("share", pa.float64()), ("answer", pa.bool_())]))
+                found = [(t, i, c, a) for (t, i), (c, a) in who.leaks(words_of(batch.column(1), lower=True, plain=True)).items()]
+                ids = batch.column(0).to_pylist() if found else []
+                digest = {t: hashlib.sha256(batch.column(1)[t].as_py().encode()).hexdigest() for t in {f[0] for f in found}}
+                said = [{"doc_id": ids[t], "digest": digest[t], "item_id": who.ids[i], "common_words": c, "item_words": len(who.words[i]), "share": c / len(who.words[i]), "answer": a} for t, i, c, a in found]
+                yield pa.RecordBatch.from_pylist(said, fields)
 
         part = rows.mapInArrow(search, schema)
         out = part if out is None else out.unionByName(part)
-    if out is None:
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema) if out is None else out
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Benchmark items in the rows of ``docs(doc_id, text)``; ``benchmark(item_id, text)``.
+
+    Returns doc_id, item_id, common_words (longest common subsequence, in
+    words), item_words, share, answer.  An item leaks where ``COPY`` of its
+    words are in common with a stretch about twice its length, or
+    ``PARAPHRASE`` of them and ``ANSWER`` of its answer's.  Null and empty texts
+    and items leak nothing; an item shorter than ``SHORT`` words must occur word
+    for word.  Rows that repeat a doc_id are joined into one result row.  Texts
+    of any length are searched whole, one batch each where they are long.
+    """
     best = F.max(F.struct("share", "common_words", "item_words", "answer")).alias("best")
-    return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.common_words", "best.item_words", "best.share", "best.answer")
+    return leaks_by_row(docs, benchmark).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.common_words", "best.item_words", "best.share", "best.answer")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item was found, unchanged.
 
-    A row without a doc_id goes with the other such rows if one of them leaks."""
-    leaking = materialize(find_leaks(docs, benchmark).select(F.col("doc_id").alias("_leak")).distinct(), "leaking")
-    return docs.join(leaking, docs["doc_id"].eqNullSafe(leaking["_leak"]), "left_anti")
+    Each row is judged by its own text: rows that share a doc_id with a leaking
+    row, or lack one as it does, stay where their own text is clean."""
+    leaking = materialize(leaks_by_row(docs, benchmark).select(F.col("doc_id").alias("_leak"), F.col("digest").alias("_leak_text")).distinct(), "leaking")
+    same = docs["doc_id"].cast("long").eqNullSafe(leaking["_leak"]) & (F.sha2(docs["text"], 256) == leaking["_leak_text"])
+    return docs.join(leaking, same, "left_anti")
 
 
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:

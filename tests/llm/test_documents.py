@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -18,6 +19,7 @@ from folioscope.llm import decontaminate, langid, licenses, mixing, neardup, pii
 from folioscope.llm.components import components
 from folioscope.llm.textvec import batches, grams, words_of
 
+SF = "/root/testdata/sf0.001"
 TEXTS = ["a b\tc", "", None, "Éa b", "x" * 100 + " y", " lead trail ", "a", "b\x0b\x0cc"]
 
 
@@ -326,6 +328,55 @@ def test_leaks(spark, docs, rows):
     assert kept.count() == len(rows) and kept.columns == docs.columns
 
 
+def test_each_row_leaks_by_its_own_text(spark):
+    item = "one of the items that must not be found in any text of the corpus"
+    rows = [(1, f"before {item} after"), (1, "a clean text under the same id"), (None, item), (None, "clean without an id"), (None, "clean too"), (2, None), (3, ""), (3, f"again {item}")]
+    docs = spark.createDataFrame([(i, t, "x", "y", 0) for i, t in rows], "doc_id long, text string, lang string, _leak string, _leak_text long")
+    benchmark = spark.createDataFrame([(7, item)], "item_id long, text string")
+    kept = decontaminate.without_leaks(docs, benchmark)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted((r for r in rows if item not in (r[1] or "")), key=repr)
+    assert decontaminate.without_leaks(docs.limit(0), benchmark).count() == 0 and decontaminate.without_leaks(docs, benchmark.limit(0)).count() == len(rows)
+
+
+def reworded(rng, item: list[str], words: list[str]) -> str:
+    """About three words in ten replaced, two put in; the answer at the end stays."""
+    out = [str(rng.choice(words)) if rng.random() < 0.3 and k < 0.7 * len(item) else x for k, x in enumerate(item)]
+    for _ in range(2):
+        out.insert(int(rng.integers(0, len(out) // 2)), "inserted")
+    return " ".join(out)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_leaks_of_whole_tables(spark, tmp_path):
+    """The query over all (document, item) pairs, and how many reworded items it finds."""
+    docs, items = ([tuple(r) for r in spark.read.parquet(f"{SF}/{t}.parquet").select(i, "text").collect()] for t, i in (("documents", "doc_id"), ("benchmark", "item_id")))
+    rng = np.random.default_rng(11)
+    vocabulary = sorted({x for _, t in docs for x in words(t)[:50]})
+    long_ones = [(i, t) for i, t in items if t and len(t.split()) >= 20]
+    planted = [(10_000 + k, i, f"{docs[k][1][:300]} {reworded(rng, t.split(), vocabulary)} {docs[-k - 1][1][:300]}") for k, (i, t) in enumerate(long_ones * 3)]
+    docs += [(d, t) for d, _, t in planted]
+    for name, rows, schema in (("documents", docs, "doc_id long, text string"), ("benchmark", items, "item_id long, text string")):
+        spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = {(r["doc_id"], r["item_id"]): (r["common_words"], r["answer"]) for r in decontaminate.op2_decontaminate(spark, str(tmp_path)).collect()}
+    named = decontaminate.Items([i for i, _ in items], decontaminate.hashed([t or "" for _, t in items]), decontaminate.hashed([decontaminate.answer_of(t or "") for _, t in items]))
+    search = decontaminate.Search(named, decontaminate.Vocabulary(np.zeros(0, np.uint64)), np.zeros((0, 1), np.float32))
+    expected = {(docs[t][0], items[i][0]): v for (t, i), v in leaks_of_all_windows(search, [t for _, t in docs]).items()}
+    assert got == expected
+    found = sum((d, i) in got for d, i, _ in planted)
+    print(f"reworded items found: {found} of {len(planted)}")
+    assert found >= 0.9 * len(planted)
+
+
+def test_short_items_share_a_look_up():
+    lines = ["red fox", "red hen", "old red fox", "a", "fox"]
+    items = decontaminate.Items(list(range(5)), decontaminate.hashed(lines), decontaminate.hashed(lines))
+    search = decontaminate.Search(items, decontaminate.benchmark_vocabulary(items), np.zeros((len(decontaminate.benchmark_vocabulary(items).hashes), 1), np.float32))
+    texts = ["an old red fox ran", "red hen and red fox", "nothing", "", "a fox red"]
+    got = set(search.leaks(words_of(pa.array(texts), lower=True, plain=True)))
+    assert got == {(t, i) for t, text in enumerate(texts) for i, x in enumerate(lines) if f" {x} " in f" {text} "}
+
+
 def test_item_words_in_both_layouts(monkeypatch):
     rng = np.random.default_rng(3)
     texts = [" ".join(f"w{x}" for x in rng.integers(0, 90, n)) for n in (9, 40, 300, 8)]
