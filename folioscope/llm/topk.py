@@ -27,6 +27,7 @@ from folioscope.llm.scratch import materialize
 
 BITS = 16
 MASKS = [np.array([sum(1 << b for b in c) for c in combinations(range(BITS), r)], np.uint16) for r in range(BITS + 1)]
+HITS = 1 << 20  # places gathered at once by one look-up, or those of a single query
 POP = np.array([bin(x).count("1") for x in range(1 << BITS)], np.uint8)
 
 
@@ -39,7 +40,11 @@ class SegmentIndex:
         self.begin = [np.concatenate([[0], np.cumsum(np.bincount(codes[:, j], minlength=1 << BITS))]) for j in range(self.segments)]
 
     def search(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query row, code row, distance) of the k nearest codes, with all that tie with the kth."""
+        """(query row, code row, distance) of the k nearest codes; of codes at one distance the first ones.
+
+        Where a look-up would gather more than ``HITS`` places, the queries are
+        halved and searched one half after the other, so that memory is bounded
+        by the codes of the block even where a segment is equal in all of them."""
         n, m = len(self.codes), self.segments
         k = min(k, n)
         met_q, met_c, met_d = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -51,6 +56,10 @@ class SegmentIndex:
                 values = queries[active, j][:, None] ^ MASKS[radius][None, :]
                 first = self.begin[j][values].ravel()
                 size = self.begin[j][values.astype(np.int64) + 1].ravel() - first
+                if size.sum() > HITS and len(queries) > 1:
+                    half = len(queries) // 2
+                    one, two = self.search(queries[:half], k), self.search(queries[half:], k)
+                    return np.concatenate([one[0], two[0] + half]), np.concatenate([one[1], two[1]]), np.concatenate([one[2], two[2]])
                 who = np.repeat(np.repeat(active, values.shape[1]), size)
                 place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first, size)
                 code = self.order[j][place].astype(np.int64)
@@ -65,32 +74,33 @@ class SegmentIndex:
                     met_q = np.concatenate([met_q, who[fresh]])
                     met_c = np.concatenate([met_c, code[fresh]])
                     met_d = np.concatenate([met_d, other[fresh].sum(1, dtype=np.int64)])
+                    # what cannot be among the k nearest is dropped
+                    met_q, met_c, met_d = nearest(met_q, met_c, met_d, k)
                 covered = m * radius + j
                 near = np.bincount(met_q[met_d <= covered], minlength=len(queries))
                 active = active[near[active] < k]
-            # what cannot be among the k nearest is dropped
-            met_q, met_c, met_d = nearest(met_q, met_c, met_d, k)
         return met_q, met_c, met_d
 
 
 def nearest(q: np.ndarray, c: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k smallest distances of each query, with ties."""
+    """The k smallest distances of each query; of equal ones those of the first codes."""
     if not len(q):
         return q, c, d
-    order = np.lexsort((d, q))
+    order = np.lexsort((c, d, q))
     q, c, d = q[order], c[order], d[order]
     begin = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
-    size = np.diff(np.concatenate([begin, [len(q)]]))
-    limit = d[begin + np.minimum(k, size) - 1]
-    keep = d <= np.repeat(limit, size)
+    keep = np.arange(len(q)) - np.repeat(begin, np.diff(np.concatenate([begin, [len(q)]]))) < k
     return q[keep], c[keep], d[keep]
 
 
-def sign_codes(vectors: DataFrame, words: int) -> DataFrame:
+def sign_codes(vectors: DataFrame, words: int | None = None) -> DataFrame:
     """(id, code) of ``vectors(id, embedding)``: bit i is set where component i is above 0.
 
-    ``code`` is binary with ``words`` times eight bytes; components beyond that
-    are ignored, missing ones are 0.  Null vectors and null ids are left out."""
+    ``code`` is binary with ``words`` times eight bytes, by default enough for
+    the longest vector; a longer vector than ``words`` allows is an error,
+    missing components are 0.  Null vectors and null ids are left out."""
+    if words is None:
+        words = max(1, -(-(vectors.agg(F.max(F.size("embedding")).alias("n")).first()["n"] or 0) // 64))
     width = words * 64
 
     def code(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,8 +111,9 @@ def sign_codes(vectors: DataFrame, words: int) -> DataFrame:
             bits = np.zeros((len(lists), width), bool)
             row = np.repeat(np.arange(len(lists)), size)
             col = np.arange(len(values)) - np.repeat(np.cumsum(size) - size, size)
-            fits = col < width
-            bits[row[fits], col[fits]] = values[fits] > 0
+            if len(size) and size.max() > width:
+                raise ValueError(f"a vector of {size.max()} components does not fit {width} bits")
+            bits[row, col] = values > 0
             packed = np.packbits(bits, axis=1, bitorder="little")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([p.tobytes() for p in packed], pa.binary())], names=["id", "code"])
 
@@ -137,17 +148,13 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10, block: int = 1 << 1
     def search(codes: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(codes) or not len(queries):
             return pd.DataFrame({"query": pd.Series([], dtype=object), "code": pd.Series([], dtype=object), "distance": pd.Series([], dtype=np.int64)})
-        own = np.frombuffer(b"".join(codes["code"]), np.uint16).reshape(len(codes), -1)
-        index, lead = SegmentIndex(own), codes["lead"].to_numpy()
+        codes = codes.sort_values("lead", kind="stable")  # so that of codes at the same distance those with the smallest ids come first
+        index = SegmentIndex(np.frombuffer(b"".join(codes["code"]), np.uint16).reshape(len(codes), -1))
         sought = np.frombuffer(b"".join(queries["code"]), np.uint16).reshape(len(queries), -1)
         parts = []
         for at in range(0, len(sought), 256):
-            q, c, d = nearest(*index.search(sought[at : at + 256], k + 1), k + 1)
-            order = np.lexsort((lead[c], d, q))  # of codes at the same distance, those with the smallest ids
-            q, c, d = q[order], c[order], d[order]
-            begin = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
-            keep = np.arange(len(q)) - np.repeat(begin, np.diff(np.concatenate([begin, [len(q)]]))) <= k
-            parts.append((q[keep] + at, c[keep], d[keep]))
+            q, c, d = index.search(sought[at : at + 256], k + 1)
+            parts.append((q + at, c, d))
         q, c, d = (np.concatenate(x) for x in zip(*parts, strict=True))
         return pd.DataFrame({"query": queries["code"].to_numpy()[q], "code": codes["code"].to_numpy()[c], "distance": d})
 
@@ -163,7 +170,7 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10, block: int = 1 << 1
 
 def op1_topk(spark, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("id"), "embedding")
-    codes = materialize(sign_codes(vectors, 1), "topk-signs")
+    codes = materialize(sign_codes(vectors), "topk-signs")
     return top_k(codes, codes.where("id % 20 = 0"), k=10)
 
 

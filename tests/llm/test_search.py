@@ -34,6 +34,29 @@ def test_top_k(spark, k):
     assert got == sorted(want)
 
 
+def test_one_segment_for_all_codes(monkeypatch):
+    """Where a segment is equal in all codes, a look-up meets the whole block; queries are then halved."""
+    monkeypatch.setattr(topk, "HITS", 5000)
+    rng = np.random.default_rng(4)
+    codes = rng.integers(0, 1 << 16, (3000, 4)).astype(np.uint16)
+    codes[:, 0] = 7
+    codes[1000:1200] = codes[999]
+    queries = codes[::100]
+    q, c, d = topk.SegmentIndex(codes).search(queries, 5)
+    every = topk.POP[queries[:, None, :] ^ codes[None, :, :]].sum(2, dtype=np.int64)
+    for i in range(len(queries)):
+        want = sorted((int(x), j) for j, x in enumerate(every[i]))[:5]
+        assert sorted(zip(d[q == i].tolist(), c[q == i].tolist(), strict=True)) == want
+
+
+def test_codes_are_as_wide_as_the_vectors(spark):
+    vectors = spark.createDataFrame([(1, [1.0] * 70), (2, [-1.0] * 3), (3, None)], "id long, embedding array<double>")
+    got = {r["id"]: bytes(r["code"]) for r in topk.sign_codes(vectors).collect()}
+    assert got == {1: b"\xff" * 8 + b"\x3f" + bytes(7), 2: bytes(16)}
+    with pytest.raises(Exception, match="does not fit"):
+        topk.sign_codes(vectors, 1).collect()
+
+
 def test_top_k_of_little(spark):
     few = spark.createDataFrame([(0, bytes(8)), (1, b"\xff" + bytes(7))], "id long, code binary")
     assert [tuple(r) for r in topk.top_k(few, few.where("id = 0"), 10).collect()] == [(0, 1, 8, 1)]
