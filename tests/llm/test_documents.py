@@ -139,6 +139,15 @@ def test_mixing(docs, rows, no_docs):
     assert mixing.mixing_schedule(no_docs).count() == 0 and mixing.mix_documents(no_docs).count() == 0
 
 
+def test_rows_without_an_id_are_spread(spark):
+    rows = [(None, f"text {i} of none", "s") for i in range(400)]
+    out = mixing.mixing_schedule(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert sorted(r["position"] for r in out.collect()) == list(range(400))
+    extra = spark.createDataFrame([(None, "the same", "s", i) for i in range(50)], "doc_id long, text string, source string, n long")
+    mixed = mixing.mix_documents(extra, max_repeat=2.0)
+    assert sorted(r["n"] for r in mixed.collect()) == list(range(50))
+
+
 def test_mixing_budget(docs):
     out = mixing.mixing_schedule(docs.where("text is not null and length(text) < 5000"), max_repeat=None, target_entropy=1.2, budget=4000).collect()
     assert abs(sum(r["n_tokens"] for r in out) - 4000) < 6 * 200
@@ -287,6 +296,17 @@ def test_repeated_passages(docs, rows, length, k):
     assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out) == removed([*rows, *more], length)
 
 
+def test_rows_that_repeat_without_an_id(spark):
+    rng = np.random.default_rng(8)
+    text = " ".join(f"w{x}" for x in rng.integers(0, 10_000, 150))
+    rows = [(None, text)] * 40 + [(3, text)] * 20 + [(None, f"{text} and one end")] * 5 + [(4, "short")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    gone = substrings.repeated_windows(substrings.keyed(docs), 35, 8)
+    assert gone.count() == 3 and gone.agg(F.max(F.size("gone"))).first()[0] < 150  # each range once, however many rows
+    out = substrings.remove_repeats(docs).collect()
+    assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out) == removed(rows, 35)
+
+
 def test_rightmost_minimum():
     rng = np.random.default_rng(3)
     v = rng.integers(0, 6, 200).astype(np.uint64)
