@@ -80,12 +80,15 @@ def mixing_schedule(docs: DataFrame, max_repeat: float | None = 4.0, target_entr
     adds columns of ``docs`` under their own names.
 
     A null source is a source of its own; a text without words counts one token,
-    so that it has a place in the permutation.  Repeated rows are each placed.
+    so that it has a place in the permutation.  Repeated rows are each placed, in
+    an order that rerun tasks find again; rows equal in id, text and ``columns``
+    are interchangeable.  A very long text is one row of many tokens.
     """
     spark = docs.sparkSession
     extra = columns or []
     tokens = F.greatest(token_count(F.col("text")), F.lit(1)).cast("long")
-    key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
+    # the text is part of the key: rows that share an id, or have none, are spread like any others
+    key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce("text", F.lit(""))))
     rank = F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")  # 60 bits
     name = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))  # joins like plain keys, null included
     rows = docs.select(F.col("doc_id").alias("_id"), name.alias("_source"), tokens.alias("_tokens"), rank.alias("_rank"), F.struct(*(F.col(c) for c in extra)).alias("_extra") if extra else F.lit(None).cast("string").alias("_extra"))
@@ -105,7 +108,7 @@ def mixing_schedule(docs: DataFrame, max_repeat: float | None = 4.0, target_entr
     plan = sources.select("_source", F.round(weight, 9).alias("weight"), F.expr("total").alias("_total"), quota.alias("_quota")).withColumn("_whole", F.expr("_quota div _total")).withColumn("_rest", F.expr("_quota % _total"))
 
     # where in the permutation the last, partial pass of each source stops
-    slices = max(16, buckets_for(n, 4000))
+    slices = max(64, buckets_for(n, 10_000))
     slice_of = F.expr(f"cast(_rank div {-(-(1 << 60) // slices)} as int)")
     cells = narrow.groupBy("_source", slice_of.alias("_slice")).agg(F.sum("_tokens").alias("_sum"))
     before = Window.partitionBy("_source").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -113,7 +116,8 @@ def mixing_schedule(docs: DataFrame, max_repeat: float | None = 4.0, target_entr
     cells = materialize(cells.join(plan, "_source"), "mix-cells")
 
     placed = (rows if extra else narrow).withColumn("_slice", slice_of).join(cells, ["_source", "_slice"])
-    inside = Window.partitionBy("_source", "_slice").orderBy("_rank", "_id", "_tokens").rowsBetween(Window.unboundedPreceding, -1)
+    tie = [F.xxhash64("_extra")] if extra else []
+    inside = Window.partitionBy("_source", "_slice").orderBy("_rank", "_id", "_tokens", *tie).rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("_start", F.col("_before") + F.coalesce(F.sum("_tokens").over(inside), F.lit(0)))
     passes = F.col("_whole") + (F.col("_start") < F.col("_rest")).cast("long")
     taken = placed.withColumn("_passes", passes).where("_passes > 0").withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_passes") - 1)))
@@ -133,7 +137,7 @@ def op7_mixing(spark, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL = r"""
-with d as (select doc_id, source, greatest(1, len(regexp_extract_all(coalesce(text, ''), '[^ \x09-\x0D]+')))::bigint as n_tokens, ('0x' || substr(md5('0:' || doc_id), 1, 15))::bigint as rank from documents),
+with d as (select doc_id, source, greatest(1, len(regexp_extract_all(coalesce(text, ''), '[^ \x09-\x0D]+')))::bigint as n_tokens, ('0x' || substr(md5('0:' || coalesce(doc_id::varchar, 'null') || ':' || md5(coalesce(text, ''))), 1, 15))::bigint as rank from documents),
 t as (select source, sum(n_tokens)::bigint as total from d group by 1),
 m as (select sum(total)::double as whole, max(total)::double as most, min(total)::double as least from t),
 x as (select case when most = least then 1.0::double when ln(most / least) <= ln(4.0::double) then 0.0::double else ceil((1 - ln(4.0::double) / ln(most / least)) * 1e6) / 1e6 end as a from m),
