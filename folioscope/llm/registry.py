@@ -24,4 +24,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_topk": topk.ORACLE_SQL,
     "op3_urlrules": urlrules.ORACLE_SQL,
     "op9_licenses": licenses.oracle_sql(),
+    "op10_sharding": sharding.ORACLE_SQL,
 }

@@ -60,32 +60,43 @@ def test_components(spark):
 # --- sharding
 
 
-def least_capacity(sizes: list[int], shards: int) -> int:
-    def needed(cap: int) -> int:
-        n, left = 1, cap
-        for s in sizes:
-            if s > left:
-                n, left = n + 1, cap
-            left -= s
-        return n
-
-    cap = max(max(sizes), -(-sum(sizes) // shards))
-    while needed(cap) > shards:
-        cap += 1
-    return cap
+def filled(sizes: list[int], cap: int) -> list[list[int]]:
+    """Runs of groups filled up to ``cap``; a larger group is alone."""
+    out, left = [], -1
+    for i, s in enumerate(sizes):
+        if s > left:
+            out.append([])
+            left = cap
+        out[-1].append(i)
+        left -= s
+    return out
 
 
 @pytest.mark.parametrize("blocks", [32, 4096])
 @pytest.mark.parametrize("shards", [3, 16])
-def test_minimax_cuts(spark, blocks, shards):
+@pytest.mark.parametrize("giants", [(), (4000,), (60_000,), (60_000, 61_000), (60_000, 5, 9000, 30_000)])
+def test_minimax_cuts(spark, blocks, shards, giants):
     rng = np.random.default_rng(blocks + shards)
     keys = np.sort(rng.choice(10**6, 200, replace=False)) - 5000
     sizes = rng.integers(1, 500, 200)
-    sizes[17] = 4000
+    sizes[17 : 17 + len(giants)] = giants
     cap, cuts = sharding.minimax_cuts(spark.createDataFrame(list(zip(keys.tolist(), sizes.tolist(), strict=True)), "key long, bytes long"), shards, blocks)
-    assert cap == least_capacity(sizes.tolist(), shards)
-    sums = [sizes[(keys >= a) & (keys < b)].sum() for a, b in zip([-(10**9), *cuts], [*cuts, 10**9], strict=True)]
-    assert max(sums) <= cap and len(sums) <= shards
+    least = next(c for c in range(1, 10**6) if len(filled(sizes.tolist(), c)) <= shards)
+    assert cap == max(least, sizes.max())
+    assert [int(keys[run[0]]) for run in filled(sizes.tolist(), least)[1:]] == cuts
+    # no partition into runs has a smaller largest shard
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    worst = ends[1:].copy()
+    for _ in range(shards - 1):
+        worst = np.array([min(worst[j], min((max(worst[i], ends[j + 1] - ends[i + 1]) for i in range(j)), default=worst[j])) for j in range(200)])
+    assert worst[-1] == max(sum(sizes[i] for i in run) for run in filled(sizes.tolist(), least)) <= cap
+
+
+def test_a_huge_group_leaves_the_others_even(spark):
+    rows = [(i, f"text {i} " * 5) for i in range(600)] + [(600 + i, "the same " * 10) for i in range(400)]
+    out = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), 16)
+    sizes = sorted(r["b"] for r in out.groupBy("shard").agg(F.sum("size").alias("b")).collect())
+    assert len(sizes) == 16 and sizes[-1] == 400 * 91 and sizes[0] > 0.7 * sizes[-2]
 
 
 def test_sharding(docs, rows, no_docs):
