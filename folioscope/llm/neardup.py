@@ -28,9 +28,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from folioscope.llm.components import components
 from folioscope.llm.scratch import materialize
@@ -40,6 +39,9 @@ ROWS = 5  # coordinates in a band
 MISS = 1e-9
 CENTRES = (1, 3)  # centres of a bucket in the rounds before what is left is compared in blocks
 BLOCK = 256  # members of a bucket in one block
+SHINGLES = 1_000_000  # and their shingles, but for a longer text, which is alone
+UNPACKED = 4_000_000  # bytes of text turned into sets at once
+ROW = ["doc_id", "th", "tk"]
 
 
 def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
@@ -97,54 +99,80 @@ def band_keys(table: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def sketches(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, n_shingles, set_a, set_b, bands); set_a and set_b name the set, bands is null for an empty one."""
+def rows_of(docs: DataFrame, tie: Column | None = None) -> DataFrame:
+    """(doc_id, th, tk, tie, text): the id and 128 bits of the text name a row; ``tie`` tells others apart."""
+    text = F.col("text")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.xxhash64(F.lit(1), text).alias("tk"), (F.lit(0) if tie is None else tie).cast("long").alias("tie"), text.alias("text"))
+
+
+def sketches(rows: DataFrame, k: int, bands: int, height: int) -> DataFrame:
+    """(doc_id, th, tk, tie, n_shingles, set_a, set_b, bands) of rows_of(); set_a and set_b name the set."""
 
     def sketch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it, "text", 2_000_000):
-            sets = shingle_sets(batch.column(1), k)
-            keys = band_keys(fast_similarity_sketch(sets, bands * rows), bands, rows)
+            sets = shingle_sets(batch.column(4), k)
+            keys = band_keys(fast_similarity_sketch(sets, bands * height), bands, height)
             size = np.array([len(s) for s in sets], np.int64)
             with np.errstate(over="ignore"):
                 a = np.array([mix(s ^ K1).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
                 b = np.array([mix(s + K1).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands), pa.int32()), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(a), pa.array(b), lists], names=["doc_id", "n_shingles", "set_a", "set_b", "bands"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sketch, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>")
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(4)), pa.array(size), pa.array(a), pa.array(b), lists], names=[*ROW, "tie", "n_shingles", "set_a", "set_b", "bands"])
+
+    return rows.mapInArrow(sketch, "doc_id long, th long, tk long, tie long, n_shingles long, set_a long, set_b long, bands array<long>")
+
+
+def unpacked_sets(packed: list[bytes], k: int) -> list[np.ndarray]:
+    """The shingle sets of packed texts; about ``UNPACKED`` bytes of text are open at once."""
+    unpack, out, begin = zstandard.ZstdDecompressor(), [], 0
+    size = [zstandard.get_frame_parameters(x).content_size for x in packed]
+    while begin < len(packed):
+        stop, total = begin, 0
+        while stop < len(packed) and (stop == begin or total + size[stop] <= UNPACKED):
+            total += size[stop]
+            stop += 1
+        out += shingle_sets(pa.array([unpack.decompress(x) for x in packed[begin:stop]], pa.binary()), k)
+        begin = stop
+    return out
 
 
 def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The rows of ``pairs(a, b)`` whose whole sets reach the threshold; ``texts(rep, packed)``."""
 
     def check(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
         for batch in it:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            size = [sum(zstandard.get_frame_parameters(x).content_size for x in pair) for pair in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            at = 0
+            while at < batch.num_rows:  # up to 256 pairs, or fewer where their texts are long
+                stop, total = at, 0
+                while stop < min(at + 256, batch.num_rows) and (stop == at or total + size[stop] <= 4 * UNPACKED):
+                    total += size[stop]
+                    stop += 1
+                part = batch.slice(at, stop - at)
                 packed: dict[bytes, int] = {}
                 which = [[packed.setdefault(x, len(packed)) for x in part.column(c).to_pylist()] for c in (2, 3)]
-                sets = shingle_sets(pa.array([unpack.decompress(x) for x in packed], pa.binary()), k)
+                sets = unpacked_sets(list(packed), k)
                 keep = []
                 for x, y in zip(*which, strict=True):
                     both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
                     keep.append(both > 0 and 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                at = stop
 
     one, two = texts.select(F.col("rep").alias("a"), F.col("packed").alias("pa")), texts.select(F.col("rep").alias("b"), F.col("packed").alias("pb"))
     return pairs.join(two, "b").join(one, "a").select("a", "b", "pa", "pb").mapInArrow(check, "a long, b long")
 
 
-def packed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(rep, packed) of the documents named in ``wanted(rep)``."""
+def packed_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(rep, packed), one text for each row of ``wanted(rep, doc_id, th, tk)``."""
 
     def pack(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
         for batch in batches(it, "text"):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([press.compress((t or "").encode()) for t in batch.column(1).to_pylist()], pa.binary())], names=["rep", "packed"])
 
-    own = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    return own.join(wanted, "rep").select("rep", "text").mapInArrow(pack, "rep long, packed binary")
+    same = rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["th"] == wanted["th"]) & (rows["tk"] == wanted["tk"])
+    return rows.join(wanted, same).select("rep", "text").mapInArrow(pack, "rep long, packed binary").dropDuplicates(["rep"])
 
 
 def merged(links: DataFrame, known: DataFrame | None) -> DataFrame:
@@ -190,29 +218,29 @@ def block_links(sets: list[np.ndarray], component: np.ndarray, percent: int) ->
 def compared_in_blocks(at: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (a, b) between different components of ``at(key, rep, component)``, bucket by bucket.
 
-    A bucket is dealt into blocks of about ``BLOCK`` members, and every two
-    blocks meet in one group."""
-    blocks = at.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    A bucket is dealt into blocks of about ``BLOCK`` members and ``SHINGLES``
+    shingles at most, and every two blocks meet in one group."""
+    members, shingles = F.count(F.lit(1)) / BLOCK, F.sum("n") / SHINGLES
+    blocks = at.groupBy("key").agg(F.ceil(F.greatest(members, shingles)).cast("int").alias("blocks"))
     own = at.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     own = own.join(texts, "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = own.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "rep", "component", "packed")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        unpack = zstandard.ZstdDecompressor()
-        sets = shingle_sets(pa.array([unpack.decompress(x) for x in pdf["packed"]], pa.binary()), k)
-        rep = pdf["rep"].to_numpy()
+        sets, rep = unpacked_sets(pdf["packed"].tolist(), k), pdf["rep"].to_numpy()
         found = block_links(sets, pdf["component"].to_numpy(), percent)
         return pd.DataFrame({"a": [rep[i] for i, _ in found], "b": [rep[j] for _, j in found]}, dtype="int64")
 
     return met.groupBy("key", "lo", "hi").applyInPandas(compare, "a long, b long")
 
 
-def link_classes(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame | None:
-    """(node, component) of the linked classes of ``reps(rep, n, bands)``; None where there are none."""
+def link_classes(reps: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame | None:
+    """(node, component) of the linked classes of ``reps(rep, n, bands, lead)``; None where there are none."""
     banded = reps.select(F.explode("bands").alias("key"), "rep", "n")
     shared = banded.groupBy("key").count().where("count > 1").select("key")
     rest = materialize(banded.join(shared, "key"), "near-buckets")
-    texts = materialize(packed_texts(docs, rest.select("rep").distinct()), "near-texts")
+    wanted = reps.join(rest.select("rep").distinct(), "rep").select("rep", "lead.doc_id", "lead.th", "lead.tk")
+    texts = materialize(packed_texts(rows, wanted), "near-texts")
     known, tried = None, None
     for take in (*CENTRES, None):
         if known is None:
@@ -245,44 +273,71 @@ def link_classes(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> Data
     return known
 
 
+def linked_rows(rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """rows_of() without their texts, with n_shingles, n_equal and ``lead``: the first row that each is linked with.
+
+    Rows with equal sets are a class; classes are numbered, so that rows that
+    share a doc_id, or have none, are told apart.  A row without shingles is its
+    own lead.  The first row is that of smallest doc_id; rows without one come last."""
+    bands = bands_for(percent)
+    sketched = materialize(sketches(rows, k, bands, ROWS), "near-sketches")
+    real = sketched.where("n_shingles > 0")
+    name = F.struct(F.col("doc_id").isNull().alias("no_id"), *ROW, "tie")
+    classes = real.groupBy("set_a", "set_b").agg(F.min(name).alias("lead"), F.first("bands").alias("bands"), F.min("n_shingles").alias("n"), F.count(F.lit(1)).alias("n_equal"))
+    classes = materialize(classes.withColumn("rep", F.monotonically_increasing_id()), "near-classes")  # written once: the numbers stay
+    known = link_classes(classes.select("rep", "n", "bands", "lead"), rows, k, percent)
+    named = classes.select("set_a", "set_b", "rep", "n_equal", "lead")
+    if known is not None:
+        members = known.select(F.col("node").alias("rep"), "component").union(known.select("component", "component").distinct())
+        members = materialize(members.join(classes.select("rep", "lead"), "rep"), "near-members")
+        first = members.groupBy("component").agg(F.min("lead").alias("first"))
+        named = named.join(members.join(first, "component").select("rep", "first"), "rep", "left").withColumn("lead", F.coalesce("first", "lead"))
+    named = materialize(named.select("set_a", "set_b", "n_equal", "lead"), "near-named")
+    linked = real.select(*ROW, "tie", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"]).select(*ROW, "tie", "n_shingles", "n_equal", "lead")
+    alone = sketched.where("n_shingles = 0").select(*ROW, "tie", "n_shingles", F.lit(1).cast("long").alias("n_equal"), name.alias("lead"))
+    return linked.unionByName(alone)
+
+
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame:
     """One row for each row of ``docs(doc_id, text)`` with its class of linked documents.
 
     Returns doc_id, n_shingles, component_id (the smallest doc_id reachable),
-    kept (doc_id = component_id) and n_equal (documents with the same set).
+    kept (doc_id = component_id) and n_equal (rows with the same set).
     Texts without words, and null texts, have an empty set and are linked with
-    nothing.  Rows that share a doc_id count as one document.  A row without a
-    doc_id is linked with nothing, its component is null, and it is kept.
+    nothing.  Rows that share a doc_id are documents of their own.  A row
+    without a doc_id is linked like any other; its component is null where no
+    linked row has an id, and then it is kept if its text is the first one's.
+    Very long texts are compared whole.
     """
-    bands = bands_for(percent)
-    all_rows = materialize(sketches(docs, k, bands, ROWS), "near-sketches")
-    real = all_rows.where("n_shingles > 0 and doc_id is not null")
-    classes = materialize(real.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"), F.min("n_shingles").alias("n"), F.count(F.lit(1)).alias("n_equal")), "near-classes")
-    known = link_classes(classes.select("rep", "n", "bands"), docs, k, percent)
-    named = classes.select("set_a", "set_b", "rep", "n_equal")
-    if known is not None:
-        named = named.join(known.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    else:
-        named = named.withColumn("component", F.lit(None).cast("long"))
-    named = materialize(named.select("set_a", "set_b", F.coalesce("component", "rep").alias("component"), "n_equal"), "near-named")
-    out = real.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"]).select("doc_id", "n_shingles", F.col("component").alias("component_id"), "n_equal")
-    alone = all_rows.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("n_equal"))
-    out = out.unionByName(alone)
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "n_equal")
+    found = linked_rows(rows_of(docs), k, percent)
+    own = F.col("doc_id").isNull() & F.col("lead.no_id") & (F.col("th") == F.col("lead.th")) & (F.col("tk") == F.col("lead.tk"))
+    return found.select("doc_id", "n_shingles", F.col("lead.doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("lead.doc_id"), own).alias("kept"), "n_equal")
 
 
 def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that are kept, unchanged; of rows that share a doc_id, one."""
-    found = near_duplicates(docs, k, percent)
-    gone = materialize(found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
-    stay = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+    """The rows of ``docs`` that are kept, unchanged: of each group of linked rows the first one.
+
+    The first row is that of smallest doc_id.  Rows with different texts that
+    share a doc_id, or have none, go only where they are linked with the kept
+    one; of rows that are equal throughout, one stays.  Rows without words all
+    stay, as nothing is linked with them."""
+    tie = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
+    found = linked_rows(rows_of(docs, tie), k, percent)
+    is_first = F.col("doc_id").eqNullSafe(F.col("lead.doc_id")) & (F.col("th") == F.col("lead.th")) & (F.col("tk") == F.col("lead.tk")) & (F.col("tie") == F.col("lead.tie"))
+    judged = materialize(found.select(*ROW, "tie", ((F.col("n_shingles") == 0) | is_first).alias("stay"), (F.col("n_shingles") > 0).alias("real")), "near-judged")
+    names = {c: f"_near_{c}" for c in (*ROW, "tie")}
+
+    def same(left: DataFrame, right: DataFrame) -> Column:
+        i, text = left["doc_id"].cast("long"), left["text"]
+        return i.eqNullSafe(right["_near_doc_id"]) & (F.xxhash64(text) == right["_near_th"]) & (F.xxhash64(F.lit(1), text) == right["_near_tk"]) & (F.xxhash64(*(left[f"`{c}`"] for c in left.columns)) == right["_near_tie"])
+
+    gone = judged.where("not stay").select(*ROW, "tie").distinct().withColumnsRenamed(names)
+    stay = docs.join(gone, same(docs, gone), "left_anti")
+    twice = judged.where("stay and real").groupBy(*ROW, "tie").count().where("count > 1").select(*ROW, "tie").withColumnsRenamed(names)
+    twice = materialize(twice, "near-twice")
+    if twice.isEmpty():
         return stay
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns)))
-    nth = "_nth"
-    while nth.lower() in (c.lower() for c in docs.columns):
-        nth += "_"
-    return stay.where("doc_id is not null").withColumn(nth, first).where(F.col(nth) == 1).drop(nth).unionByName(stay.where("doc_id is null"))
+    return stay.join(twice, same(stay, twice), "left_anti").unionByName(stay.join(twice, same(stay, twice), "left_semi").dropDuplicates())
 
 
 def op5_neardup(spark, sf_dir: str) -> DataFrame:
