@@ -101,6 +101,40 @@ def test_rules_of_any_length(spark):
     assert out[0]["mined_rule"] == "h:a h:c p:e q:g"
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_rules_equal_those_of_all_combinations(spark, seed):
+    """Tokens that always stand together are one item; the rules must be those of every combination all the same."""
+    rng = np.random.default_rng(seed)
+    shapes = ["http://{a}.{b}.org/{c}/{c}x/{c}y?{d}", "http://{a}.com/deep/er/{b}/{c}", "https://{a}.{b}.net/{d}#f"]
+    urls = [rng.choice(shapes).format(**{k: k + "pq"[rng.integers(2)] for k in "abcd"}) for _ in range(400)]
+    bad = [bool(("ap" in u and "cq" in u and rng.random() < 0.95) or rng.random() < 0.04) for u in urls]
+    urls += ["http://ap.com/deep/er/bp/new", "http://ap.bp.org/cqy/other", None]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    out = {r["page_id"]: r for r in urlrules.judge_urls(pages, spark.createDataFrame(list(enumerate(bad)), "page_id long, bad boolean"), {}).collect()}
+    rows = urlrules.url_parts(pages).withColumn("tokens", urlrules.url_tokens()).collect()
+    tokens = {r["page_id"]: frozenset(r["tokens"]) for r in rows}
+    sure = {}
+    for w in {frozenset(c) for t in set(tokens.values()) for n in range(1, 8) for c in combinations(sorted(t), n)}:
+        own = [b for i, b in enumerate(bad) if w <= tokens[i]]
+        if sum(own) >= 10 and sum(own) >= 0.6 * len(own):
+            sure[w] = (sum(own) / len(own), sum(own))
+    kept = {w: s for w, s in sure.items() if not any(sure.get(w - {t}, (0, 0))[0] >= s[0] for t in w)}
+    assert kept
+    for i, t in tokens.items():
+        best = max(((*s, " ".join(sorted(w))) for w, s in kept.items() if w <= t), default=(None, None, None))
+        assert (out[i]["verdict"], out[i]["mined_rule"], out[i]["confidence"]) == ("block" if best[2] else "allow", best[2], best[0])
+
+
+def test_copies_of_a_deep_url(spark):
+    deep = "http://bad.org/" + "/".join(f"s{chr(97 + i)}" for i in range(40))
+    rows = [(i, deep) for i in range(32)] + [(40 + i, f"http://fine.org/{'/'.join('abcdefgh'[: i % 8])}") for i in range(80)] + [(200, "http://other.org/sq"), (201, "x://" + "/y" * 50_000), (201, "x://" + "/y" * 50_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    out = urlrules.judge_urls(pages, spark.createDataFrame([(i, i < 32) for i, _ in rows[:112]], "page_id long, bad boolean"), {}).collect()
+    assert len(out) == len(rows)
+    assert all((r["verdict"] == "block") == (r["page_id"] < 32 or r["page_id"] == 200) for r in out)
+    assert urlrules.judge_urls(pages.limit(0), spark.createDataFrame([(1, True)], "page_id long, bad boolean")).count() == 0
+
+
 def test_a_bad_host_is_blocked_in_a_large_table(spark):
     n = 20_000
     pages = spark.range(n).select(F.col("id").alias("page_id"), F.concat(F.lit("http://"), F.when(F.col("id") < 12, "spam").otherwise("fine"), F.lit(".org/x")).alias("url"))
