@@ -7,7 +7,9 @@ with the fewest phrases wins.
 
 Only the automata are fitted on a bounded sample: for each label the
 ``train_texts`` training rows of smallest hash, ``train_chars`` characters of
-them in all.  Prediction covers every whole text, cut into segments of
+them in all, or fewer where many labels or letters would make the automata
+larger than ``CELLS``; labels beyond the ``most_labels`` with the most training
+rows are not learned.  Prediction covers every whole text, cut into segments of
 ``SEGMENT`` characters that are parsed side by side; a segment border ends a
 phrase in all languages alike.
 """
@@ -29,7 +31,8 @@ from folioscope.llm.textvec import batches
 SEGMENT = 512
 UNKNOWN = "und"
 LETTER = r"\p{L}"
-MOST_LABELS = 500
+CELLS = 1 << 26  # transitions of all automata together: 256 MB
+BRIEF = 32  # characters; what is shorter is rejected only for letters that no language has
 
 
 class SuffixAutomaton:
@@ -83,10 +86,12 @@ class CrossParser:
         for i, c in enumerate(letters):
             self.codes[ord(c)] = i + 1
         self.alphabet = len(letters) + 1
+        each = max(1, CELLS // (2 * self.alphabet * max(1, len(folded))))  # characters; an automaton has up to twice as many states
+        folded = {k: v[:each] for k, v in folded.items()}
         self.tables = [SuffixAutomaton(self.codes[np.frombuffer(folded[k].encode("utf-32-le"), np.uint32)], self.alphabet).table for k in self.labels]
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(folded codes, lengths, number of letters) of whole texts."""
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(folded codes, lengths, number of letters, number of letters never seen) of whole texts."""
         joined = "\x00".join(texts).lower() + "\x00"
         points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         codes = self.codes[points]
@@ -106,8 +111,8 @@ class CrossParser:
         keep = end | letter | (gap & lead)
         ends = np.flatnonzero(end[keep])
         size = np.diff(np.concatenate([[-1], ends])) - 1
-        letters = np.diff(np.concatenate([[0], np.cumsum(letter)[np.flatnonzero(end)]]))
-        return codes[keep & ~end], size[: len(texts)], letters[: len(texts)]
+        letters, unseen = (np.diff(np.concatenate([[0], np.cumsum(x)[np.flatnonzero(end)]]))[: len(texts)] for x in (letter, letter & ~known))
+        return codes[keep & ~end], size[: len(texts)], letters, unseen
 
     def phrases(self, codes: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Phrases of each text for each language: array [texts, languages]."""
@@ -138,22 +143,20 @@ class CrossParser:
         return out
 
 
-def training_sample(rows: DataFrame, train_texts: int, train_chars: int) -> dict[str, str]:
+def training_sample(rows: DataFrame, train_texts: int, train_chars: int, most_labels: int = 1000) -> dict[str, str]:
     """Up to ``train_chars`` characters of each label from ``rows(doc_id, text, lang)``.
 
-    The rows of smallest hash are taken: first all rows below a hash limit that
-    leaves about four times as many as wanted, then the first of them, so that
-    no label is ever gathered in one task."""
+    The ``most_labels`` labels with the most rows are taken; of equal ones those
+    that sort first.  The rows of smallest hash are taken: first all rows below
+    a hash limit that leaves about four times as many as wanted, then the first
+    of them, so that no label is ever gathered in one task."""
     each = max(1, train_chars // train_texts)
     rows = rows.where(F.col("lang").isNotNull())
-    rows = rows.select("lang", "text", F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("long").alias("hash"))
-    counts = rows.groupBy("lang").count().limit(MOST_LABELS + 1).collect()
-    if len(counts) > MOST_LABELS:
-        raise ValueError(f"more than {MOST_LABELS} labels in the training rows")
-    limit = F.lit(None).cast("long")
-    for r in counts:
-        limit = F.when(F.col("lang") == r["lang"], F.lit(int((1 << 32) * min(1.0, 4.0 * train_texts / r["count"])))).otherwise(limit)
-    few = rows.where(F.col("hash") < limit).where(F.col("text").rlike(LETTER)).select("lang", "hash", "text")
+    rows = rows.select("lang", "text", F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.md5("text"), F.lit(""))), 1, 8), 16, 10).cast("long").alias("hash"))
+    labels = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_labels)
+    share = F.least(F.lit(1.0), F.lit(4.0 * train_texts) / F.col("count"))
+    rows = rows.join(F.broadcast(labels.select("lang", (share * F.lit(float(1 << 32))).alias("limit"))), "lang")  # most_labels rows
+    few = rows.where(F.col("hash") < F.col("limit")).where(F.col("text").rlike(LETTER)).select("lang", "hash", "text")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "text"))
     middle = F.greatest(F.lit(1), (F.length("text") / 2 - each).cast("int"))  # past headings and notices
     chosen = few.withColumn("rank", rank).where(F.col("rank") <= train_texts).select("lang", "rank", F.substring(F.col("text"), middle, F.lit(2 * each)).alias("part"))
@@ -163,16 +166,17 @@ def training_sample(rows: DataFrame, train_texts: int, train_chars: int) -> dict
     return {k: " ".join(v)[:train_chars] for k, v in out.items()}
 
 
-def identify(docs: DataFrame, training: DataFrame, train_texts: int = 64, train_chars: int = 24_000) -> DataFrame:
+def identify(docs: DataFrame, training: DataFrame, train_texts: int = 64, train_chars: int = 24_000, most_labels: int = 1000) -> DataFrame:
     """lang_pred, score and phrase_rate for each row of ``docs(doc_id, text)``.
 
     Returns doc_id, lang_pred, score, phrase_rate (phrases of the best language
     for each character).  score is 1 - best/second, the margin between the two
     best languages, or 1 with a single language.  A null text, a text without a
     letter, and every text where nothing could be learned get ``und``, score 0
-    and a null rate.  Ties go to the label that sorts first.
+    and a null rate.  Ties go to the label that sorts first.  The time of a text
+    grows with the number of labels.  Very long texts are parsed whole.
     """
-    samples = training_sample(training, train_texts, train_chars)
+    samples = training_sample(training, train_texts, train_chars, most_labels)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(CrossParser(samples) if samples else None)  # train_chars for each label
 
@@ -183,7 +187,7 @@ def identify(docs: DataFrame, training: DataFrame, train_texts: int = 64, train_
             n = len(texts)
             label, score, rate = [UNKNOWN] * n, np.zeros(n), np.full(n, np.nan)
             if parser is not None:
-                codes, size, letters = parser.encode(texts)
+                codes, size, letters, _ = parser.encode(texts)
                 found = parser.phrases(codes, size)
                 best = found.argmin(axis=1)
                 ordered = np.sort(found, axis=1)
@@ -213,8 +217,10 @@ def keep_identified(docs: DataFrame, training: DataFrame, most_phrases: float =
 
     Rejected are ``und`` texts and texts that no learned language explains: more
     than ``most_phrases`` phrases for each character, which foreign scripts
-    reach and prose in a learned language does not."""
-    samples = training_sample(training, kwargs.get("train_texts", 64), kwargs.get("train_chars", 24_000))
+    reach and prose in a learned language does not.  A text of less than
+    ``BRIEF`` characters has too few for that, and is rejected only if it also
+    has a letter that was never seen in training."""
+    samples = training_sample(training, kwargs.get("train_texts", 64), kwargs.get("train_chars", 24_000), kwargs.get("most_labels", 1000))
     shared = docs.sparkSession.sparkContext.broadcast(CrossParser(samples) if samples else None)
 
     @F.pandas_udf("boolean")
@@ -228,9 +234,10 @@ def keep_identified(docs: DataFrame, training: DataFrame, most_phrases: float =
             while stop < len(listed) and (stop == begin or size + len(listed[stop]) <= 2_000_000):
                 size += len(listed[stop])
                 stop += 1
-            codes, length, letters = parser.encode(listed[begin:stop])
+            codes, length, letters, unseen = parser.encode(listed[begin:stop])
             fewest = parser.phrases(codes, length).min(axis=1)
-            out[begin:stop] = (letters > 0) & (fewest <= most_phrases * np.maximum(length, 1))
+            brief = (length < BRIEF) & (unseen == 0)
+            out[begin:stop] = (letters > 0) & (brief | (fewest <= most_phrases * np.maximum(length, 1)))
             begin = stop
         return pd.Series(out)
 

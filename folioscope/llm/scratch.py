@@ -2,8 +2,9 @@
 
 Intermediate tables are written as Parquet below the folder that the session
 names in ``spark.checkpoint.dir`` and read back.  Only where that setting is
-empty (tests, notebooks) a temporary folder of our own is set.  The files of a
-session go when the Python driver ends.
+empty and the master is local (tests, notebooks) a temporary folder of our own
+is set; on a cluster an empty setting is an error, as executors could not see
+each other's files.  The files of a session go when the Python driver ends.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ def base_dir(spark: SparkSession) -> str:
     said = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if said:
         return said.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="folioscope-")

@@ -183,8 +183,9 @@ def test_phrases_are_longest_matches():
     train = {"a": "the cat sat on the mat and the rat ran", "b": "der hund und die katze"}
     parser = langid.CrossParser(train)
     texts = ["the mat ran and the hund", "Der Rat, und 12 die CAT!", "zzz", "", "the " * 400]
-    codes, size, letters = parser.encode(texts)
+    codes, size, letters, unseen = parser.encode(texts)
     got = parser.phrases(codes, size)
+    assert not unseen.any()
     for row, t in enumerate(texts):
         plain = re.sub(r"[^a-zäöü]+", " ", t.lower()).strip(" ") if row != 4 else "the " * 400
         if row in (0, 2):
@@ -209,6 +210,37 @@ def test_language_identification(docs, rows, no_docs):
     assert {r["lang_pred"] for r in langid.identify(docs, no_docs).collect()} == {"und"}
 
 
+def test_every_label_is_learned_and_brief_texts_stay(spark, docs, monkeypatch):
+    many = spark.createDataFrame([(i, f"label {chr(97 + i % 26)}{chr(97 + i // 26)} words of it", f"l{i:03d}") for i in range(600)], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(many.where("doc_id < 40"), many).collect()}
+    assert set(got.values()) <= {f"l{i:03d}" for i in range(600)} and sum(got[i] == f"l{i:03d}" for i in got) >= 30
+    assert len(langid.training_sample(many, 64, 24_000, most_labels=7)) == 7
+    monkeypatch.setattr(langid, "CELLS", 5000)
+    parser = langid.CrossParser({"a": "abc " * 500, "b": "bcd " * 500})
+    assert sum(t.size for t in parser.tables) <= 5000
+    monkeypatch.undo()
+    brief = spark.createDataFrame([(1, "a"), (2, "Né"), (3, "漢"), (4, "?"), (5, "tz")], "doc_id long, text string")
+    assert {r["doc_id"] for r in langid.keep_identified(brief, docs.where(~langid.held_out())).collect()} == {1, 2, 5}
+
+
+def plain_language(samples: dict, text: str) -> str | None:
+    """The label with the fewest phrases by a parser that searches the training text."""
+    if not any(c.isalpha() for c in text or ""):
+        return "und"
+    folded = re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in text.lower())).lstrip(" ")
+    count = {k: phrase_count(langid.fold(v), folded) for k, v in samples.items()}
+    return min(sorted(count), key=count.get)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_query_equals_a_plain_parser(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    samples = langid.training_sample(docs.where(~langid.held_out()), 64, 24_000)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect() if len(r["text"] or "") < 1500}
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.op6_langid(spark, SF).collect()}
+    assert len(texts) > 50 and all(got[i] == plain_language(samples, t) for i, t in texts.items())
+
+
 # --- near duplicates
 
 
