@@ -615,3 +615,43 @@ def test_licences(spark, docs, no_docs):
     assert got == [(3, 2, 6, "mit", "mit"), (3, 0, 9, "cc-by,gpl", "cc-by,gpl"), (1, 0, 0, "apache", "apache,mpl"), (0, None, None, "", "mit"), (0, None, None, "", ""), (0, None, None, "", ""), (0, None, None, "", ""), (0, None, None, "", ""), (0, None, None, "", ""), (0, None, None, "", "lgpl")]
     assert out[400]["n_words"] == 8 and out[400]["score"] == 1.0 and out[406]["n_words"] == 0
     assert licenses.scan_licenses(no_docs).count() == 0
+
+
+def plain_licences(t: str, templates) -> set:
+    """(label, start, agreed) by trying every place of every template."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
+    out = set()
+    for x in templates:
+        for s in range(len(w)):
+            agreed = sum(s + j < len(w) and w[s + j] == y for j, y in enumerate(x.words))
+            if agreed >= x.needed and all(tuple(w[s + o : s + o + len(k)]) == k for o, k in x.key_offsets()):
+                out.add((x.label, s, agreed / len(x.words)))
+    return out
+
+
+def test_altered_licence_texts(spark):
+    rng = np.random.default_rng(9)
+    texts = []
+    for i, x in enumerate(licenses.MORE * 3):
+        w = list(x.words)
+        for j in rng.choice(len(w), int(rng.integers(0, x.may_miss + 2)), replace=False):
+            w[j] = "software" if i % 2 else "other"
+        texts.append(" ".join(["the license of"] * int(rng.integers(0, 3)) + w + ["any"] * 5))
+    texts.append("permission is hereby granted to the software as is " * 2000)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = 0
+    for r in licenses.scan_licenses(docs).collect():
+        want = plain_licences(texts[r["doc_id"]], (*licenses.BASE, *licenses.MORE))
+        assert r["labels"] == ",".join(sorted({x for x, *_ in want})) and r["score"] == max((a for *_, a in want), default=0)
+        base = plain_licences(texts[r["doc_id"]], licenses.BASE)
+        assert (r["n_base"], r["first_word"], r["last_word"]) == (len(base), min((s for _, s, _ in base), default=None), max((s for _, s, _ in base), default=None))
+        found += r["labels"] != ""
+    assert found > 40
+
+
+def test_hundreds_of_templates(spark):
+    rng = np.random.default_rng(3)
+    many = tuple(licenses.template(f"l{i}", " ".join(f"w{x}" for x in rng.integers(0, 3000, 120)), 0.8) for i in range(300))
+    docs = spark.createDataFrame([(i, "x " + " ".join(many[i * 7].words[: 120 - i]) + " y") for i in range(30)], "doc_id long, text string")
+    out = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(docs, licenses.BASE, many).collect()}
+    assert out == {i: f"l{i * 7}" if 120 - i >= 96 else "" for i in range(30)}
