@@ -13,6 +13,7 @@ QUERIES = {
     "op6_langid": langid.op6_langid,
     "op7_mixing": mixing.op7_mixing,
     "op8_pii": pii.op8_pii,
+    "pii_patterns": pii.pii_patterns,
     "op9_licenses": licenses.op9_licenses,
     "op10_sharding": sharding.op10_sharding,
 }
@@ -25,4 +26,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_urlrules": urlrules.ORACLE_SQL,
     "op9_licenses": licenses.oracle_sql(),
     "op10_sharding": sharding.ORACLE_SQL,
+    "pii_patterns": pii.PATTERNS_SQL,
 }

@@ -7,8 +7,9 @@ import os
 import re
 import zlib
 from collections import Counter, defaultdict
-from itertools import combinations
+from itertools import combinations, product
 
+import held_out
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -589,18 +590,69 @@ def test_personal_data(spark, docs, no_docs):
         base = base_spans(t)
         assert out[500 + i]["base_sha256"] == hashlib.sha256(pii.joined(base).encode()).hexdigest()
         assert set(pii.joined(base).split(",")) <= set(out[500 + i]["spans"].split(",")) | {""}
-    assert out[508]["spans"] == "secret:9:49"
+    assert out[508]["spans"] == "secret:9:49" and out[508]["n_added"] == out[508]["n_spans"] == 1
     assert out[0]["spans"] == "" and out[80]["n_email"] == 0
     assert pii.find_personal_data(no_docs).count() == 0
 
 
-def test_crf_learns_its_table():
+@pytest.fixture(scope="module")
+def crf():
+    return pii.Crf(pii.labelled_rows())
+
+
+def test_crf_learns_its_table(crf):
     rows = pii.labelled_rows()
-    crf = pii.Crf(rows)
     got = pii.crf_spans([t for t, _ in rows], crf)
     assert sum(g == s for g, (_, s) in zip(got, rows, strict=True)) >= len(rows) - 1
 
 
+def test_crf_on_lines_it_has_not_seen(crf):
+    rows = pii.labelled_rows(held_out.HELD_OUT)
+    known, found = Counter(), Counter()
+    for g, (_, spans) in zip(pii.crf_spans([t for t, _ in rows], crf), rows, strict=True):
+        for s in spans:
+            known[s[0]] += 1
+            found[s[0]] += s in g
+    print({k: f"{found[k]} of {n}" for k, n in known.items()})
+    assert sum(found.values()) >= 0.85 * sum(known.values())
+    clean = held_out.CLEAN.strip().splitlines()
+    assert not any(pii.crf_spans(clean, crf))
+
+
+def test_viterbi_against_every_labelling(crf):
+    rng = np.random.default_rng(0)
+    size = len(crf.labels)
+    scores = [rng.normal(size=(n, size)) * 4 for n in (1, 2, 3, 4)]
+    for x, path in zip(scores, crf.viterbi(scores), strict=True):
+        best = max(product(range(size), repeat=len(x)), key=lambda p: crf.begin[p[0]] + sum(x[i, a] for i, a in enumerate(p)) + sum(crf.move[a, b] for a, b in zip(p, p[1:], strict=False)))
+        assert tuple(path.tolist()) == best
+
+
+def test_long_stretches(crf, monkeypatch):
+    rng = np.random.default_rng(1)
+    hashes = ["".join(rng.choice(list("0123456789abcdef"), 40)) for _ in range(1000)]
+    text = " ".join(f'token = "{h}"' for h in hashes)
+    (found,) = pii.crf_spans([text], crf)
+    assert len(found) == len(set(found)) and sum(text[a:b] in hashes for _, a, b in found) >= 990
+    whole = pii.crf_spans([text[:20_000]], crf)
+    monkeypatch.setattr(pii, "PART", 17)
+    assert pii.crf_spans([text[:20_000]], crf) == whole
+    monkeypatch.setattr(pii, "SHORT", 10**6)
+    assert pii.crf_spans([text[:20_000]], crf) == whole
+
+
+def test_added_spans_lie_apart():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        added = sorted({("x", int(a), int(a + n)) for a, n in zip(rng.integers(0, 60, 8), rng.integers(1, 9, 8), strict=True)}, key=lambda s: (s[1], s[2]))
+        base = [("ip", int(a), int(a + n)) for a, n in zip(rng.integers(0, 60, 4), rng.integers(1, 12, 4), strict=True)]
+        want = []
+        for s in added:
+            if not any(s[1] < b and a < s[2] for _, a, b in [*base, *want]):
+                want.append(s)
+        assert pii.apart(added, base) == want
+
+
 # --- licences
 
 
