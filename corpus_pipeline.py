@@ -6,7 +6,10 @@ documents; the last returns a shard and a slot for every row.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from folioscope.llm.decontaminate import without_leaks
 from folioscope.llm.langid import held_out, keep_identified
@@ -22,12 +25,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of smallest id of each group linked at 0.8 over five-word shingles."""
+    """Keep the document of smallest id of each group linked at 0.8 over five-word shingles; rows are told apart by id and text."""
     return keep_one_of_each(docs, k=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject documents in which a benchmark item is found."""
+    """Reject rows in whose text a benchmark item is found; other rows of the same id stay."""
     return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -53,10 +56,33 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def steps(spark: SparkSession, sf_dir: str) -> Iterator[tuple[str, DataFrame, DataFrame]]:
+    """(stage, its input, its output) in order; every output but the last is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        out = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
-            docs = materialize(docs, f"stage-{name}")
-    return docs
+            out = materialize(out, f"stage-{name}")
+        yield name, docs, out
+        docs = out
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage."""
+    *_, (_, _, out) = steps(spark, sf_dir)
+    return out
+
+
+def counts(spark: SparkSession, sf_dir: str) -> list[dict]:
+    """For each stage the rows and distinct (doc_id, text) it was given, kept and rejected."""
+
+    def named(df: DataFrame) -> DataFrame:
+        text = F.crc32(F.coalesce("text", F.lit(""))) if "text" in df.columns else F.col("text_crc32")
+        return df.select("doc_id", text.alias("text")).distinct()
+
+    out = []
+    for name, before, after in steps(spark, sf_dir):
+        known, kept = named(before), named(after)
+        same = known["doc_id"].eqNullSafe(kept["doc_id"]) & (known["text"] == kept["text"])
+        out.append({"stage": name, "rows_in": before.count(), "rows_out": after.count(), "kept": known.join(kept, same, "left_semi").count(), "rejected": known.join(kept, same, "left_anti").count()})
+    return out

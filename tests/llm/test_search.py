@@ -185,8 +185,33 @@ def test_pipeline_stages(spark, docs, rows, tmp_path):
     assert sorted(map(repr, whole.select("doc_id", "shard").collect())) == sorted(map(repr, now.select("doc_id", "shard").collect()))
 
 
-@pytest.mark.parametrize("name", ["language", "near_duplicates", "mixing", "sharding"])
-def test_stages_of_nothing(spark, no_docs, name):
+def test_no_stage_loses_a_clean_row(spark, tmp_path):
+    """Rows that share an id, or have none: only leaks, copies and texts without a language go."""
     import corpus_pipeline
 
-    assert dict(corpus_pipeline.STAGES)[name](spark, no_docs, "").count() == 0
+    rng = np.random.default_rng(12)
+    prose = lambda n: " ".join("".join(rng.choice("the and tion er ing on at re es nd".split(), rng.integers(1, 4))) for _ in range(n))
+    clean = [prose(60) for _ in range(40)]
+    item = prose(25)
+    rows = [(i, t, "en", f"src{i % 3}") for i, t in enumerate(clean[:20])]
+    rows += [(3, clean[20], "en", "src0"), (3, clean[21], "en", "src0"), (None, clean[22], "en", "src1"), (None, clean[23], None, None), (None, clean[24], "en", "src1")]
+    leaks = [(3, f"{clean[30]} {item}", "en", "src0"), (None, f"{item} {clean[31]}", "en", "src2")]
+    copies = [(50, clean[0], "en", "src0"), (None, clean[22], "en", "src2")]
+    odd = [(60, "", "en", "src0"), (61, None, "en", None), (None, "12 34", "en", "src0")]
+    schema = "doc_id long, text string, lang string, source string"
+    spark.createDataFrame(rows + leaks + copies + odd, schema).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = {r["stage"]: (r["rows_in"], r["kept"], r["rejected"]) for r in corpus_pipeline.counts(spark, str(tmp_path))}
+    n = len(rows)
+    assert got["language"] == (n + 7, n + 3, 3)  # an id and a text that stand twice count once: the copy without an id
+    assert got["near_duplicates"] == (n + 4, n + 2, 1)
+    assert got["decontamination"] == (n + 2, n, 2)
+    assert got["mixing"][1:] == (n, 0) and got["sharding"][1:] == (n, 0)
+
+
+@pytest.mark.parametrize("name", ["language", "near_duplicates", "decontamination", "mixing", "sharding"])
+def test_stages_of_nothing(spark, no_docs, name, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([(1, "an item of a few words to be found")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert dict(corpus_pipeline.STAGES)[name](spark, no_docs, str(tmp_path)).count() == 0
