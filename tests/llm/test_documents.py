@@ -619,6 +619,12 @@ def test_crf_on_lines_it_has_not_seen(crf):
     assert not any(pii.crf_spans(clean, crf))
 
 
+def test_no_stretch_is_passed_over(docs):
+    texts = [t for t, _ in pii.labelled_rows()] + HARD + [f"Das {k.upper()} war da" for k in pii.KEY_OF] + [f"x, '{k.title()}': y" for k in pii.KEY_OF] + [r["text"] or "" for r in docs.collect()]
+    worth = pii.worth_reading(texts)
+    assert all(w or not list(pii.stretches(t)) for w, t in zip(worth, texts, strict=True)) and not worth.all()
+
+
 def test_viterbi_against_every_labelling(crf):
     rng = np.random.default_rng(0)
     size = len(crf.labels)
