@@ -39,7 +39,7 @@ PASSAGE = 64  # words in a row of the matrix
 RANK, OVERSAMPLE = 64, 16
 LEAST_SCALE = 16
 STEPS = 4  # windows begin at every quarter of their length
-COSINE = 0.3
+COSINE = 0.45
 COPY = 0.8  # share of an item's words in common that makes a copy
 PARAPHRASE = 0.6  # share that makes a paraphrase, where the answer agrees
 ANSWER = 0.8
