@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from folioscope.operators import search, secrets, validation
 from folioscope.operators.sections import index_documents, totals
 from folioscope.plans import ledger, listing, status
-from folioscope.sources import corpus, reports
+from folioscope.sources import corpus, history, reports
 
 
 class Project:
@@ -74,6 +74,8 @@ def index(p: Project, args) -> int:
         print("the index is up to date" if same else "the index is out of date")
         return 0 if same else 1
     corpus.write_index(documents, sections, p.index)
+    if args.json:
+        reports.write_json(documents.drop("norm_text"), args.json, ["author", "path"], "documents")
     n = totals(documents, sections).first()
     print(f"{n['documents']} documents, {n['sections']} sections, {n['words']:,} words")
     return 0
@@ -160,8 +162,18 @@ def state(p: Project, args) -> int:
 
 
 def scan(p: Project, args) -> int:
-    """Commits as JSON lines (sha, diff and header fields)."""
-    commits = p.spark.read.schema("sha string, author_name string, author_email string, committer_name string, committer_email string, message string, diff string").json(args.commits)
+    """Commits of a git repository, or JSON lines of them (sha, diff and header fields)."""
+    if bool(args.commits) == bool(args.git):
+        print("give a file of commits, or --git with revisions")
+        return 2
+    if args.git:
+        try:
+            commits = history.read_commits(p.spark, p.root, args.git, tuple(args.leave_out))
+        except ValueError as e:
+            print(e)
+            return 2
+    else:
+        commits = p.spark.read.schema(history.COMMITS).json(args.commits)
     found = secrets.scan_lines(secrets.added_lines(commits), args.name, args.email).drop("n").unionByName(secrets.scan_commits(commits, args.name, args.email)).persist()
     for r in found.orderBy("sha", "kind", "snippet").collect():
         print(f"{r['sha'][:10]}: {r['kind']}: {r['snippet']}")
@@ -202,7 +214,10 @@ def parser() -> argparse.ArgumentParser:
     made["validate"].add_argument("--quiet", action="store_true")
     made["ledger"].add_argument("--theme")
     made["ledger"].add_argument("--all", action="store_true")
-    made["secrets"].add_argument("commits")
+    made["index"].add_argument("--json")
+    made["secrets"].add_argument("commits", nargs="?")
+    made["secrets"].add_argument("--git", nargs="+", default=[])
+    made["secrets"].add_argument("--leave-out", action="append", default=[])
     made["secrets"].add_argument("--name", action="append", default=[])
     made["secrets"].add_argument("--email", action="append", default=[])
     made["listing"].add_argument("page")

@@ -20,30 +20,35 @@ def search(documents: DataFrame, sections: DataFrame, terms: list[str], by_secti
     Returns rank, hits, author, slug and, by section, locator, done, path,
     line_start, line_end, words, url; ``total`` counts all matches, so that the
     overflow is known. Ties go by slug, then section order."""
-    docs = documents.select("slug", "author", "url")
+    docs = documents.select(F.col("path").alias("file"), "slug", "author", "url")
     if commentary:
         docs = docs.where(F.col("slug") == commentary)
     if author:
         docs = docs.where(F.col("author") == author)
-    hits = sections.join(docs, "slug").withColumn("hits", count_terms(F.col("norm_text"), terms))
+    hits = section_hits(sections.drop("slug").join(docs, "file"), terms)
     everything = Window.partitionBy()
     if not by_section:
-        per_doc = hits.groupBy("slug").agg(F.sum("hits").alias("hits"))
-        found = docs.join(per_doc, "slug", "left").withColumn("hits", F.coalesce("hits", F.lit(0)).cast("long")).where(F.col("hits") >= min_hits)
-        order, keep = [F.desc("hits"), F.asc("slug")], ["hits", "author", "slug"]
+        per_doc = hits.groupBy("file").agg(F.sum("hits").alias("hits"))
+        found = docs.join(per_doc, "file", "left").withColumn("hits", F.coalesce("hits", F.lit(0)).cast("long")).where(F.col("hits") >= min_hits)
+        order, keep = [F.desc("hits"), F.asc("slug"), F.asc("file")], ["hits", "author", "slug"]
     else:
         found = hits.where(F.col("hits") >= min_hits).withColumn("locator", F.concat_ws("#", "slug", "id")).withColumn("url", F.concat_ws("#", "url", "anchor"))
         if covered is None:
             found = found.withColumn("done", F.lit(False))
         else:
             found = found.join(covered.select("locator", F.lit(True).alias("_done")), "locator", "left").withColumn("done", F.coalesce("_done", F.lit(False)))
-        order = [F.desc("hits"), F.asc("slug"), F.asc("line_start")]
+        order = [F.desc("hits"), F.asc("slug"), F.asc("file"), F.asc("line_start")]
         keep = ["hits", "author", "slug", "locator", "done", F.slice("path", F.greatest(F.size("path") - 1, F.lit(1)), 2).alias("path"), "line_start", "line_end", "words", "url"]
     total = found.agg(F.count(F.lit(1)).alias("total"))
     first = found.orderBy(*order).limit(top).withColumn("rank", F.row_number().over(everything.orderBy(*order)))
     return first.select("rank", *keep).crossJoin(total)
 
 
+def section_hits(sections: DataFrame, terms: list[str]) -> DataFrame:
+    """Sections with ``hits``."""
+    return sections.withColumn("hits", count_terms(F.col("norm_text"), terms))
+
+
 def document_hits(documents: DataFrame, terms: list[str]) -> DataFrame:
-    """(slug, hits) over the whole normalized text, front matter and text before the first heading included."""
-    return documents.select("slug", count_terms(F.col("norm_text"), terms).alias("hits"))
+    """(path, slug, hits) over the whole normalized text, front matter and text before the first heading included."""
+    return documents.select("path", "slug", count_terms(F.col("norm_text"), terms).alias("hits"))

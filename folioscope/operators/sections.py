@@ -1,4 +1,9 @@
-"""Documents to lines to sections, as window functions over each document."""
+"""Documents to lines to sections, as window functions over the headings of each document.
+
+A document is named by its path: two authors may each have a file of one name.
+Its slug, which records use, stands for the last such file in the order of
+author and file (see by_slug).
+"""
 
 from __future__ import annotations
 
@@ -41,17 +46,17 @@ def with_front_matter(docs: DataFrame) -> DataFrame:
 
 
 def headings(docs: DataFrame) -> DataFrame:
-    """One row for each heading outside fences: slug, line_start, level, title, n_lines."""
-    lines = docs.select("slug", "offset", F.size("lines").alias("n_lines"), F.posexplode("lines").alias("at", "line")).where("at >= offset")
+    """One row for each heading outside fences: path, line_start, level, title, n_lines."""
+    lines = docs.select("path", "offset", F.size("lines").alias("n_lines"), F.posexplode("lines").alias("at", "line")).where("at >= offset")
     # only fences and headings are carried into the window
     kept = lines.where(F.col("line").rlike(FENCE) | F.col("line").rlike(HEADING)).withColumn("fence", F.col("line").rlike(FENCE).cast("int"))
-    before = Window.partitionBy("slug").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("path").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     outside = kept.withColumn("open", F.coalesce(F.sum("fence").over(before), F.lit(0)) % 2).where("open = 0 and fence = 0")
     title = stripped(F.regexp_replace(F.regexp_extract("line", HEADING, 2), "[*_`]", ""))
-    return outside.select("slug", (F.col("at") + 1).alias("line_start"), F.length(F.regexp_extract("line", HEADING, 1)).alias("level"), title.alias("title"), "n_lines")
+    return outside.select("path", (F.col("at") + 1).alias("line_start"), F.length(F.regexp_extract("line", HEADING, 1)).alias("level"), title.alias("title"), "n_lines")
 
 
-def ancestor_path(order: str = "line_start", key: str = "slug") -> Column:
+def ancestor_path(order: str = "line_start", key: str = "path") -> Column:
     """Titles of the open ancestors and the own one: per level the last heading, unless a higher one came after."""
     upto = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     parts = []
@@ -64,38 +69,59 @@ def ancestor_path(order: str = "line_start", key: str = "slug") -> Column:
 
 
 def sections_of(docs: DataFrame) -> DataFrame:
-    """Sections of ``docs(slug, text)``, flat: a section ends where the next heading of any level begins.
+    """Sections of ``docs(path, slug, text)``, flat: a section ends where the next heading of any level begins.
 
-    Returns slug, ordinal, id, level, title, path, anchor, line_start, line_end,
-    words (heading left out), text (heading kept)."""
+    Returns file, slug, ordinal, id, level, title, path (of titles), anchor,
+    line_start, line_end, words (heading left out), text (heading kept).  Only
+    headings are windowed; each document's sections are then cut from its lines
+    inside its own row."""
     docs = docs if "meta" in docs.columns else with_front_matter(docs)
-    order = Window.partitionBy("slug").orderBy("line_start")
-    found = headings(docs).withColumn("path", ancestor_path()).withColumn("line_end", F.coalesce(F.lead("line_start").over(order) - 1, F.col("n_lines")))
+    order = Window.partitionBy("path").orderBy("line_start")
+    found = headings(docs).withColumn("titles", ancestor_path()).withColumn("line_end", F.coalesce(F.lead("line_start").over(order) - 1, F.col("n_lines")))
     found = found.withColumn("ordinal", F.row_number().over(order)).withColumn("base", X.section_id(F.col("title"), F.col("level"))).withColumn("anchor_base", X.anchor_id(F.col("title")))
-    nth_id = F.row_number().over(Window.partitionBy("slug", "base").orderBy("line_start"))
-    nth_anchor = F.row_number().over(Window.partitionBy("slug", "anchor_base").orderBy("line_start"))
+    nth_id = F.row_number().over(Window.partitionBy("path", "base").orderBy("line_start"))
+    nth_anchor = F.row_number().over(Window.partitionBy("path", "anchor_base").orderBy("line_start"))
     found = found.withColumn("nth", nth_id).withColumn("nth_anchor", nth_anchor)
     own_id = F.when(F.col("nth") == 1, F.col("base")).otherwise(F.concat_ws("-", "base", F.col("nth").cast("string")))
     own_anchor = F.when(F.col("nth_anchor") == 1, F.col("anchor_base")).otherwise(F.concat_ws("-", "anchor_base", (F.col("nth_anchor") - 1).cast("string")))
-    joined = found.join(docs.select("slug", "lines"), "slug")
-    own = F.slice("lines", F.col("line_start"), F.col("line_end") - F.col("line_start") + 1)
-    body = F.slice("lines", F.col("line_start") + 1, F.greatest(F.col("line_end") - F.col("line_start"), F.lit(0)))
-    return joined.select("slug", "ordinal", own_id.alias("id"), "level", "title", "path", own_anchor.alias("anchor"), "line_start", "line_end", X.word_count(F.array_join(body, "\n")).alias("words"), F.array_join(own, "\n").alias("text"))
+    named = found.select("path", F.struct("ordinal", own_id.alias("id"), "level", "title", "titles", own_anchor.alias("anchor"), "line_start", "line_end").alias("s"))
+    per_file = named.groupBy("path").agg(F.collect_list("s").alias("all"))  # the headings of one file
+    joined = docs.select("path", "slug", "lines").join(per_file, "path")
+
+    def cut(s: Column) -> Column:
+        own = F.slice("lines", s["line_start"], s["line_end"] - s["line_start"] + 1)
+        body = F.slice("lines", s["line_start"] + 1, F.greatest(s["line_end"] - s["line_start"], F.lit(0)))
+        return F.struct(s.alias("s"), X.word_count(F.array_join(body, "\n")).alias("words"), F.array_join(own, "\n").alias("text"))
+
+    each = joined.select(F.col("path").alias("file"), "slug", F.explode(F.transform("all", cut)).alias("c"))
+    return each.select("file", "slug", "c.s.ordinal", "c.s.id", "c.s.level", "c.s.title", F.col("c.s.titles").alias("path"), "c.s.anchor", "c.s.line_start", "c.s.line_end", "c.words", "c.text")
+
+
+def by_slug(documents: DataFrame) -> DataFrame:
+    """One document for each slug: the last in the order of author and file."""
+    last = F.row_number().over(Window.partitionBy("slug").orderBy(F.desc("author"), F.desc("path")))
+    return documents.withColumn("_nth", last).where("_nth = 1").drop("_nth")
+
+
+def documents_of(docs: DataFrame, sections: DataFrame, site: str = "") -> DataFrame:
+    """The documents of ``docs(author, slug, path, sha256, text)`` whose sections are known.
+
+    A document's title is that of its front matter, else its first heading of
+    level 1, else its slug; an empty title falls through."""
+    docs = docs if "meta" in docs.columns else with_front_matter(docs)
+    first = sections.where("level = 1").groupBy("file").agg(F.min_by("title", "line_start").alias("h1")).withColumnRenamed("file", "path")
+    title = F.coalesce(F.nullif(F.try_element_at("meta", F.lit("title")), F.lit("")), F.nullif("h1", F.lit("")), "slug")
+    url = F.concat(F.lit(site), F.regexp_replace("path", r"\.md$", ".html"))
+    return docs.join(first, "path", "left").select("slug", "path", "author", title.alias("title"), F.try_element_at("meta", F.lit("wordpress_id")).alias("wordpress_id"), "sha256", F.size("lines").alias("lines"), X.word_count(F.col("text")).alias("words"), url.alias("url"), X.normalize_quote(F.col("text")).alias("norm_text"))
 
 
 def index_documents(docs: DataFrame, site: str = "") -> tuple[DataFrame, DataFrame]:
     """(documents, sections) of ``docs(author, slug, path, sha256, text)``.
 
-    A document's title is that of its front matter, else its first heading of
-    level 1, else its slug; an empty title falls through.  Both tables carry
-    norm_text, so that no query normalizes again."""
+    Both tables carry norm_text, so that no query normalizes again."""
     docs = with_front_matter(docs)
     sections = sections_of(docs)
-    first = sections.where("level = 1").groupBy("slug").agg(F.min_by("title", "line_start").alias("h1"))
-    title = F.coalesce(F.nullif(F.try_element_at("meta", F.lit("title")), F.lit("")), F.nullif("h1", F.lit("")), "slug")
-    url = F.concat(F.lit(site), F.regexp_replace("path", r"\.md$", ".html"))
-    documents = docs.join(first, "slug", "left").select("slug", "path", "author", title.alias("title"), F.try_element_at("meta", F.lit("wordpress_id")).alias("wordpress_id"), "sha256", F.size("lines").alias("lines"), X.word_count(F.col("text")).alias("words"), url.alias("url"), X.normalize_quote(F.col("text")).alias("norm_text"))
-    return documents, sections.withColumn("norm_text", X.normalize_quote(F.col("text")))
+    return documents_of(docs, sections, site), sections.withColumn("norm_text", X.normalize_quote(F.col("text")))
 
 
 def totals(documents: DataFrame, sections: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import html
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def parents(levels: list[int]) -> list[int]:
@@ -31,6 +32,18 @@ def parents(levels: list[int]) -> list[int]:
     return out
 
 
+HEADING = r"(?is)<h([1-6])(?:\s[^>]*)?>.*?</h[1-6]>"
+ID = r"(?is)^<h[1-6](?:\s[^>]*?)?\sid\s*=\s*[\"']([^\"']*)[\"']"
+
+
+def rendered_headings(pages: DataFrame, html_column: str = "html") -> DataFrame:
+    """(slug, n, level, title, anchor) of the headings of ``pages(slug, html)`` that carry an id, in order; tags inside a title go."""
+    found = pages.select("slug", F.posexplode(F.regexp_extract_all(html_column, F.lit(HEADING), 0)).alias("n", "h"))
+    title = F.trim(F.regexp_replace(F.regexp_replace("h", "(?s)<[^>]*>", ""), r"\s+", " "))
+    rows = found.select("slug", F.col("n").cast("long").alias("n"), F.regexp_extract("h", HEADING, 1).cast("int").alias("level"), title.alias("title"), F.regexp_extract("h", ID, 1).alias("anchor"))
+    return rows.where("anchor <> ''")
+
+
 def toc_parents(headings: DataFrame) -> DataFrame:
     """(slug, n, level, title, anchor, parent) of ``headings(slug, n, level, title, anchor)``; a document is a group."""
 

@@ -13,19 +13,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions import text as X
-from folioscope.functions.terms import count_terms, term_present
+from folioscope.functions.terms import count_terms
 from folioscope.operators import secrets, toc, validation
 from folioscope.operators import search as S
 from folioscope.operators.schema_check import schema_problems
-from folioscope.operators.sections import ancestor_path
-from folioscope.plans import fixtures, goldens, ledger, status
+from folioscope.operators.sections import ancestor_path, totals
+from folioscope.plans import ledger, listing, status
+from folioscope.plans import tables as T
+from folioscope.plans import tables_sql as Q
 from folioscope.sources.reports import differences
 
 THEMES = {"care": ["thand", "then", "in the"], "being": ["onat", "erth"], "path": ["für", "über", "mit", "pour"]}
+QUOTES = 50_000  # quotes that travel in one row; more of them are joined
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 
-NORM = r"""lower(trim(regexp_replace(replace(translate({}, '‘’“”–—−*_`', '''''""---'), '…', '...'), '\s+', ' ', 'g')))"""
+NORM = Q.NORM
 
 
 def sql_hits(norm: str, terms: list[str]) -> str:
@@ -67,38 +70,6 @@ def term_counts_by_doc(spark, sf_dir):
     return normalized_docs(spark, sf_dir).select("doc_id", count_terms(F.col("norm_text"), THEMES["care"]).alias("hits"))
 
 
-@query(" union all ".join(f"select doc_id, '{t}' as theme, {sql_hits(NORM.format('text'), w)}::bigint as hits from documents where {sql_hits(NORM.format('text'), w)} > 0" for t, w in THEMES.items()))
-def theme_scores(spark, sf_dir):
-    """Documents by themes: the few themes are columns of one scan, then rows."""
-    docs = normalized_docs(spark, sf_dir)
-    scored = docs.select("doc_id", F.explode(F.array(*(F.struct(F.lit(t).alias("theme"), count_terms(F.col("norm_text"), w).alias("hits")) for t, w in THEMES.items()))).alias("s"))
-    return scored.select("doc_id", "s.theme", "s.hits").where("hits > 0")
-
-
-@query(f"""select d.doc_id, source, {sql_hits(NORM.format('text'), THEMES['care'])}::bigint as hits from documents d
-where d.doc_id not in (select doc_id from labels) and {sql_hits(NORM.format('text'), THEMES['care'])} > 0 order by hits desc, d.doc_id limit 25""")
-def top_candidates_uncovered(spark, sf_dir):
-    """Next candidates: documents without a record, by hits; the anti-join comes before the text is looked at."""
-    docs = table(spark, sf_dir, "documents")
-    left = docs.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti")
-    hits = left.select("doc_id", "source", count_terms(X.normalize_quote(F.col("text")), THEMES["care"]).alias("hits"))
-    return hits.where("hits > 0").orderBy(F.desc("hits"), "doc_id").limit(25)
-
-
-@query(f"with {LINES} select l.doc_id, n, {sql_hits(NORM.format('line'), THEMES['being'])}::bigint as hits, (b.doc_id is not null) as done from lines l left join (select distinct doc_id from labels) b using (doc_id) where {sql_hits(NORM.format('line'), THEMES['being'])} >= 2")
-def line_hits_done_flag(spark, sf_dir):
-    """Sections with at least two hits, marked where a record covers their document."""
-    hits = lines_of(spark, sf_dir).withColumn("hits", count_terms(X.normalize_quote(F.col("line")), THEMES["being"])).where("hits >= 2")
-    covered = table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("_done")).distinct()
-    return hits.join(covered, "doc_id", "left").select("doc_id", "n", "hits", F.coalesce("_done", F.lit(False)).alias("done"))
-
-
-@query(f"with {LINES} select doc_id, sum({sql_hits(NORM.format('line'), THEMES['care'])})::bigint as section_hits, max(whole)::bigint as document_hits from lines join (select doc_id, {sql_hits(NORM.format('text'), THEMES['care'])} as whole from documents) using (doc_id) group by doc_id")
-def two_hit_totals(spark, sf_dir):
-    """Hits summed over sections, and over the whole text; a phrase across a section border counts only in the second."""
-    by_line = lines_of(spark, sf_dir).groupBy("doc_id").agg(F.sum(count_terms(X.normalize_quote(F.col("line")), THEMES["care"])).alias("section_hits"))
-    whole = normalized_docs(spark, sf_dir).select("doc_id", count_terms(F.col("norm_text"), THEMES["care"]).alias("document_hits"))
-    return by_line.join(whole, "doc_id")
 
 
 @query(f"with {LINES} select doc_id, n, len(regexp_extract_all(line, '\\S+'))::bigint as words from lines")
@@ -113,40 +84,6 @@ def document_index(spark, sf_dir):
     return docs.select("doc_id", F.sha2("text", 256).alias("sha256"), F.size(F.split("text", "\n", -1)).cast("long").alias("lines"), X.word_count(F.col("text")).alias("words"))
 
 
-@query(r"""select count(*)::bigint as documents, sum(len(regexp_extract_all(text, '\S+')))::bigint as words, sum(len(string_split(text, chr(10))))::bigint as sections from documents""")
-def corpus_totals(spark, sf_dir):
-    return document_index(spark, sf_dir).agg(F.count(F.lit(1)).alias("documents"), F.sum("words").alias("words"), F.sum("lines").alias("sections"))
-
-
-@query(f"select d.doc_id, b.item_id from documents d join benchmark b on contains({NORM.format('d.text')}, {NORM.format('b.text')})")
-def quote_found(spark, sf_dir):
-    """Which quotes occur in which documents, without a locator.
-
-    Three words inside the quote are a key that both sides share; only pairs
-    that meet there are compared. Quotes too short for that are compared with
-    every document: they are the stated query set, and Spark decides by size
-    whether to send them around."""
-    docs = normalized_docs(spark, sf_dir)
-    quotes = table(spark, sf_dir, "benchmark").select("item_id", X.normalize_quote(F.col("text")).alias("quote")).withColumn("w", F.split("quote", " "))
-    long_ones = quotes.where(F.size("w") >= 5).withColumn("key", F.xxhash64(F.array_join(F.slice("w", 2, 3), " ")))
-    words = docs.withColumn("w", F.split("norm_text", " ")).where(F.size("w") >= 5)
-    keys = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 2), lambda i: F.xxhash64(F.array_join(F.slice("w", i, 3), " "))))
-    met = words.select("doc_id", F.explode(keys).alias("key")).join(long_ones.select("item_id", "key"), "key").select("doc_id", "item_id").distinct()
-    found = met.join(docs, "doc_id").join(long_ones.select("item_id", "quote"), "item_id").where(F.contains("norm_text", "quote"))
-    short = docs.join(quotes.where((F.size("w") < 5) & (F.col("quote") != "")), F.contains("norm_text", "quote"))
-    return found.select("doc_id", "item_id").unionByName(short.select("doc_id", "item_id"))
-
-
-@query(f"""with claims as (select d.doc_id, {NORM.format('text')} as body, unnest(case when toxic = 1 then ['thand', 'pour'] else ['onat', 'erth'] end) as term from documents d join labels l using (doc_id) where quality = 0)
-select doc_id, term from claims where (term = 'thand' and {sql_hits('body', ['thand'])} > 0) or (term = 'pour' and {sql_hits('body', ['pour'])} > 0) or (term = 'onat' and {sql_hits('body', ['onat'])} > 0) or (term = 'erth' and {sql_hits('body', ['erth'])} > 0)""")
-def absence_check(spark, sf_dir):
-    """Claimed absences that do occur: own terms where there are some, else the theme's."""
-    own = F.when(F.col("toxic") == 1, F.array(F.lit("thand"), F.lit("pour"))).otherwise(F.array().cast("array<string>"))
-    claims = table(spark, sf_dir, "labels").where("quality = 0").select("doc_id", own.alias("absent_terms"))
-    terms = F.when(F.size("absent_terms") > 0, F.col("absent_terms")).otherwise(F.array(*map(F.lit, THEMES["being"])))
-    each = normalized_docs(spark, sf_dir).join(claims, "doc_id").withColumn("term", F.explode(terms))
-    return each.where(term_present(F.col("norm_text"), F.col("term"))).select("doc_id", "term")
-
 
 @query("select sha256(text) as digest, count(*)::bigint as n, min(doc_id) as first_doc from documents group by 1 having count(*) > 1")
 def digest_duplicates(spark, sf_dir):
@@ -154,49 +91,17 @@ def digest_duplicates(spark, sf_dir):
     return docs.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1")
 
 
-@query("with r as (select doc_id, sha256(text || case when quality = 0 then '!' else '' end) as recorded from documents join labels using (doc_id)) select doc_id, substr(recorded, 1, 12) as was, substr(sha256(text), 1, 12) as now from r join documents using (doc_id) where recorded <> sha256(text)")
-def stale_docs(spark, sf_dir):
-    """Records whose digest is not that of the document now."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    records = docs.join(table(spark, sf_dir, "labels"), "doc_id").select("doc_id", F.sha2(F.concat("text", F.when(F.col("quality") == 0, "!").otherwise("")), 256).alias("recorded"))
-    now = docs.select("doc_id", F.sha2("text", 256).alias("sha256"))
-    return records.join(now, "doc_id").where("recorded <> sha256").select("doc_id", F.substring("recorded", 1, 12).alias("was"), F.substring("sha256", 1, 12).alias("now"))
-
 
 @query("""with p as (select event_id, case when event_id % 7 = 0 then '{"k": true, "z": 1}' when event_id % 7 = 1 then '{"_c": 0}' when event_id % 7 = 2 then '{' else props end as props from events)
-select event_id, m.message as message from (select event_id, unnest(case event_id % 7 when 0 then [{'message': '$: unexpected property ''z'''}, {'message': '$.k: expected integer, got bool'}] when 1 then [{'message': '$: missing required property ''k'''}] when 2 then [{'message': '$: not valid JSON'}] else [] end) as m from p)""")
+select event_id, m.message as message from (select event_id, unnest(case event_id % 7 when 0 then [{'message': '$: does not know z'}, {'message': '$.k: is boolean, must be integer'}] when 1 then [{'message': '$: lacks k'}] when 2 then [{'message': '$: cannot be read as JSON'}] else [] end) as m from p)""")
 def props_schema(spark, sf_dir):
     """Schema messages of JSON records; three kinds of defects are put into known rows."""
     props = F.expr("""case event_id % 7 when 0 then '{"k": true, "z": 1}' when 1 then '{"_c": 0}' when 2 then '{' else props end""")
     schema = {"type": "object", "required": ["k"], "additionalProperties": False, "properties": {"k": {"type": "integer"}}}
     rows = table(spark, sf_dir, "events").select("event_id", props.alias("props"))
-    return rows.select("event_id", F.explode(schema_problems(F.col("props"), schema)).alias("message"))
+    return rows.select("event_id", F.explode(schema_problems("props", schema)).alias("message"))
 
 
-@query("select doc_id, previous from (select doc_id, lag(doc_id) over (partition by sha256(text) order by doc_id) as previous from documents) where previous is not null")
-def dup_id_previous_holder(spark, sf_dir):
-    """A repeated key names the row that held it last."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("id"))
-    return docs.withColumn("previous", F.lag("doc_id").over(Window.partitionBy("id").orderBy("doc_id"))).where("previous is not null").select("doc_id", "previous")
-
-
-@query("select conv_id, turn, role || case when n = 1 then '' else '-' || n end as id, role || case when n = 1 then '' else '-' || (n - 1) end as anchor from (select *, row_number() over (partition by conv_id, role order by turn) as n from conversations)")
-def id_dedup_suffix(spark, sf_dir):
-    """The nth repeat of an id gets -n, that of an anchor -(n-1)."""
-    n = F.row_number().over(Window.partitionBy("conv_id", "role").orderBy("turn"))
-    rows = table(spark, sf_dir, "conversations").withColumn("n", n)
-    with_n = lambda k: F.when(F.col("n") == 1, F.col("role")).otherwise(F.concat_ws("-", "role", k.cast("string")))
-    return rows.select("conv_id", "turn", with_n(F.col("n")).alias("id"), with_n(F.col("n") - 1).alias("anchor"))
-
-
-@query("select event_id, user_id, ts, coalesce(lead(ts) over (partition by user_id order by ts, event_id) - interval 1 microsecond, timestamp '2100-01-01') as ends from events")
-def extent_lead(spark, sf_dir):
-    """Each entry ends where the next one of its group begins; the last at the end."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    ends = F.coalesce(F.lead("ts").over(w) - F.expr("interval 1 microsecond"), F.lit("2100-01-01").cast("timestamp"))
-    rows = table(spark, sf_dir, "events")
-    return rows.select("event_id", "user_id", F.col("ts"), ends.cast(rows.schema["ts"].dataType).alias("ends"))
-
 
 @query("""with e as (select o_orderpriority as id, case when o_orderstatus = 'P' then null else min(year(o_orderdate)) end as y, o_orderstatus as status from orders group by 1, 3),
 b as (select *, case when y is null then 'undated' when id like '5%' then 'reception' else 'primary' end as bucket from e)
@@ -210,18 +115,6 @@ def chrono_buckets(spark, sf_dir):
     return e.select("bucket", "id", F.col("state").alias("status"), X.year_or_sentinel(F.col("y")).cast("long").alias("year"), place.cast("long").alias("place"))
 
 
-@query("select 'warning' as severity, doc_id from documents where doc_id not in (select doc_id from labels) union all select 'error', doc_id from labels where doc_id not in (select doc_id from documents where lang <> 'en')")
-def registry_both_way_anti(spark, sf_dir):
-    """Documents without an entry, and entries without a (non-English) document."""
-    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "lang"), table(spark, sf_dir, "labels").select("doc_id")
-    missing = docs.select("doc_id").join(labels, "doc_id", "left_anti").select(F.lit("warning").alias("severity"), "doc_id")
-    return missing.unionByName(labels.join(docs.where("lang <> 'en'"), "doc_id", "left_anti").select(F.lit("error").alias("severity"), "doc_id"))
-
-
-@query("select source, string_agg(distinct lang, ',' order by lang) as langs, count(*)::bigint as n from documents group by source")
-def author_groups(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy("source").agg(F.array_join(F.array_sort(F.collect_set("lang")), ",").alias("langs"), F.count(F.lit(1)).alias("n"))
-
 
 @query("select v.quality, count(l.doc_id)::bigint as n from (values (0), (1), (2)) v(quality) left join labels l using (quality) group by 1")
 def status_zero_fill(spark, sf_dir):
@@ -251,8 +144,8 @@ def check_mode_diff(spark, sf_dir):
 select row_number() over (order by hits desc, doc_id::varchar)::bigint as rank, hits, doc_id, (select count(*) from f)::bigint as total from f order by hits desc, doc_id::varchar limit 10""")
 def search_documents(spark, sf_dir):
     """Ranked search of one source: hits summed over sections, at least three, ten shown, all counted."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("slug"), F.col("source").alias("author"), F.lit("").alias("url"))
-    sections = lines_of(spark, sf_dir).select(F.col("doc_id").cast("string").alias("slug"), F.col("n").alias("line_start"), X.normalize_quote(F.col("line")).alias("norm_text"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("doc_id").cast("string").alias("slug"), F.col("source").alias("author"), F.lit("").alias("url"))
+    sections = lines_of(spark, sf_dir).select(F.col("doc_id").cast("string").alias("file"), F.col("doc_id").cast("string").alias("slug"), F.col("n").alias("line_start"), X.normalize_quote(F.col("line")).alias("norm_text"))
     found = S.search(docs, sections, THEMES["being"], author="src3", top=10, min_hits=3)
     return found.select(F.col("rank").cast("long").alias("rank"), "hits", F.col("slug").cast("long").alias("doc_id"), "total")
 
@@ -269,74 +162,159 @@ def heading_paths(spark, sf_dir):
     return rows.withColumn("path", F.array_join(ancestor_path("turn", "conv_id"), " > ")).select("conv_id", "turn", "level", "path")
 
 
-def values(columns: list[str], rows: list[tuple]) -> str:
-    lit = lambda v: "null" if v is None else str(v).lower() if isinstance(v, bool) else str(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
-    return f"select * from (values {', '.join('(' + ', '.join(map(lit, r)) + ')' for r in rows)}) t({', '.join(columns)})"
+@query("select doc_id, 'unit id was used before, last in ' || previous as message from (select doc_id, lag(doc_id) over (partition by sha256(text) order by lpad(doc_id::varchar, 12, '0')) as previous from documents) where previous is not null")
+def dup_id_previous_holder(spark, sf_dir):
+    """A repeated key names the row that held it last."""
+    items = table(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("id"), F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("path"), F.lit(0).alias("at"))
+    found = validation.duplicate_ids(items, "unit")
+    plain = F.regexp_replace("message", "last in 0*(?=[0-9])", "last in ")
+    return found.select(F.col("file").cast("long").alias("doc_id"), plain.alias("message"))
 
 
-@query(values(["slug", "ordinal", "id", "level", "path", "anchor", "line_start", "line_end", "words"], [
-    ("loom-notes", 1, "h1-loom", 1, "Loom", "loom", 7, 11, 12),
-    ("loom-notes", 2, "h2-s-1-warp-and-weft", 2, "Loom > § 1. Warp & Weft", "warp--weft", 12, 19, 18),
-    ("loom-notes", 3, "h2-knots", 2, "Loom > Knots", "knots", 20, 23, 2),
-    ("loom-notes", 4, "h2-knots-2", 2, "Loom > Knots", "knots-1", 24, 27, 3),
-    ("loom-notes", 5, "h4-deep-phronesis", 4, "Loom > Knots > Deep φρόνησις", "deep", 28, 31, 2),
-    ("mordant book", 1, "h1-alum", 1, "Alum", "alum", 4, 7, 2),
-    ("spindle", 1, "h1-spindle", 1, "Spindle", "spindle", 1, 4, 5),
-    ("spindle", 2, "h3-skipped-level", 3, "Spindle > Skipped level", "skipped-level", 5, 8, 5),
-    ("spindle", 3, "h2-back", 2, "Spindle > Back", "back", 9, 12, 1)]))
+@query(f"select d.doc_id, b.item_id from documents d join benchmark b on contains({NORM.format('d.text')}, {NORM.format('b.text')})")
+def quote_found(spark, sf_dir):
+    """Which quotes occur in which documents, without a locator; one pass over the documents.
+
+    Three words inside a quote are its key. A document meets the keys of all
+    quotes inside its row, where they fit (QUOTES), else through a join; only
+    quotes whose key it holds are looked for. Quotes too short for a key are
+    looked for everywhere: they are the stated query set."""
+    docs = normalized_docs(spark, sf_dir).where("norm_text is not null").withColumn("w", F.split("norm_text", " "))
+    quotes = table(spark, sf_dir, "benchmark").select("item_id", X.normalize_quote(F.col("text")).alias("quote")).where("quote <> ''").withColumn("w", F.split("quote", " "))
+    long_ones = quotes.where(F.size("w") >= 5).select("item_id", "quote", F.xxhash64(F.array_join(F.slice("w", 2, 3), " ")).alias("key"))
+    short = quotes.where(F.size("w") < 5).select("item_id", "quote")
+    keys = F.when(F.size("w") >= 5, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 2), lambda i: F.xxhash64(F.array_join(F.slice("w", i, 3), " "))))).otherwise(F.expr("cast(array() as array<bigint>)"))
+    if quotes.count() > QUOTES:
+        met = docs.select("doc_id", "norm_text", F.explode(keys).alias("key")).join(long_ones, "key").where(F.contains("norm_text", "quote"))
+        return met.select("doc_id", "item_id").unionByName(docs.join(short, F.contains("norm_text", "quote")).select("doc_id", "item_id"))
+    one = long_ones.agg(F.collect_set("key").alias("wanted")).crossJoin(short.agg(F.collect_list(F.struct("item_id", "quote")).alias("short")))  # QUOTES entries at most
+    known = F.transform(F.array_intersect(keys, F.col("wanted")), lambda k: F.struct(k.alias("key"), F.lit(None).cast("long").alias("found")))
+    whole = F.transform(F.filter("short", lambda q: F.contains(F.col("norm_text"), q["quote"])), lambda q: F.struct(F.lit(None).cast("long").alias("key"), q["item_id"].alias("found")))
+    each = docs.crossJoin(F.broadcast(one)).select("doc_id", "norm_text", F.explode(F.concat(known, whole)).alias("c"))
+    met = each.join(long_ones, F.col("c.key") == F.col("key"), "left").where(F.col("c.found").isNotNull() | F.contains("norm_text", "quote"))
+    return met.select("doc_id", F.coalesce("c.found", "item_id").alias("item_id"))
+
+
+# Queries over markdown files and records made from the tables; see tables.py.
+
+
+@query(Q.SECTIONS)
 def section_table(spark, sf_dir):
-    """Sections of the invented corpus: ids, anchors, paths, extents, words."""
-    found = fixtures.documents(spark)[1]
-    return found.select("slug", F.col("ordinal").cast("int").alias("ordinal"), "id", "level", F.array_join("path", " > ").alias("path"), "anchor", "line_start", F.col("line_end").cast("int").alias("line_end"), F.col("words").cast("int").alias("words"))
+    """Sections of all files: ids, anchors, paths, extents, words, texts; some files share a name."""
+    own = ("ordinal", "line_start", "line_end", "words")
+    sections = T.indexed(spark, sf_dir)[1]
+    return sections.select("file", *(F.col(c).cast("int").alias(c) for c in own), "id", "level", "title", F.array_join("path", " > ").alias("titles"), "anchor", F.sha2("text", 256).alias("text_sha256"))
 
 
-@query(values(["slug", "author", "title", "wordpress_id", "sha256", "lines", "words", "url"], [
-    ("loom-notes", "weaver", "The Loom's Notes", "7", fixtures.sha("weaver/loom-notes.md"), 31, 67, "https://example.org/weaver/loom-notes.html"),
-    ("spindle", "weaver", "Spindle", None, fixtures.sha("weaver/spindle.md"), 12, 18, "https://example.org/weaver/spindle.html"),
-    ("vat", "dyer", "vat", None, fixtures.sha("dyer/vat.md"), 2, 8, "https://example.org/dyer/vat.html"),
-    ("mordant book", "dyer", "Mordants", None, fixtures.sha("dyer/mordant book.md"), 7, 8, "https://example.org/dyer/mordant book.html")]))
+@query(Q.DOCUMENTS)
 def document_table(spark, sf_dir):
-    """Documents of the invented corpus: titles, digests, sizes, URLs."""
-    found = fixtures.documents(spark)[0]
-    return found.select("slug", "author", "title", "wordpress_id", "sha256", F.col("lines").cast("int").alias("lines"), F.col("words").cast("int").alias("words"), "url")
+    """Documents: titles, digests, sizes, URLs."""
+    return T.indexed(spark, sf_dir)[0].select("path", "slug", "author", "title", "wordpress_id", "sha256", "lines", F.col("words").cast("int").alias("words"), "url")
 
 
-@query(values(["n", "parent"], [(0, None), (1, 0), (2, 0), (3, 2), (4, 0)]))
+@query(Q.TOTALS)
+def corpus_totals(spark, sf_dir):
+    return totals(*T.indexed(spark, sf_dir))
+
+
+@query(Q.TOC)
 def toc_nesting(spark, sf_dir):
-    """Parents of headings h3, h2, h2, h3, h1: shallower ones nest under the first top item."""
-    rows = spark.createDataFrame([("d", i, x, "t", "a") for i, x in enumerate([3, 2, 2, 3, 1])], "slug string, n long, level int, title string, anchor string")
-    return toc.toc_parents(rows).select(F.col("n").cast("int").alias("n"), F.col("parent").cast("int").alias("parent"))
+    """Parents of all headings in a table of contents."""
+    headings = T.indexed(spark, sf_dir)[1].select(F.col("file").alias("slug"), F.col("ordinal").cast("long").alias("n"), "level", "title", "anchor")
+    return toc.toc_parents(headings).select(F.col("slug").alias("file"), "n", "parent")
 
 
-def fixture_violations(spark: SparkSession) -> DataFrame:
-    documents, sections = fixtures.documents(spark)
-    extractions, inheritance = fixtures.record_tables(spark)
-    files = spark.createDataFrame([(p,) for p in fixtures.FILES], "path string")
-    return validation.validate(documents, sections, *fixtures.registries(spark), files, extractions, inheritance, fixtures.SCHEMAS)
+@query(Q.AUTHORS)
+def author_groups(spark, sf_dir):
+    """List items of each author's documents, authors without regard to case."""
+    return listing.author_groups(T.indexed(spark, sf_dir)[0]).select("author", F.col("at").cast("int").alias("place"), "items")
 
 
-@query(values(validation.COLUMNS, goldens.VIOLATIONS))
-def violations(spark, sf_dir):
-    """Every rule on the invented corpus, whose records have planted defects."""
-    return fixture_violations(spark)
+@query(Q.PAYLOADS)
+def publishing_payloads(spark, sf_dir):
+    """What a publisher would send, and the front matter after the answer."""
+    files = T.markdown(spark, sf_dir)
+    sent = listing.publishing_payloads(T.indexed(spark, sf_dir)[0])
+    answers = sent.select("path", F.when(F.col("action") == "create", F.concat(F.lit("n-"), "slug")).alias("wordpress_id")).where("wordpress_id is not null")
+    return sent.join(listing.with_new_ids(files, answers).select("path", F.sha2("text", 256).alias("new_sha256")), "path").select("path", "slug", "title", "tag", "action", "wordpress_id", "new_sha256")
 
 
-@query(values(["ordinal", "line"], list(enumerate(goldens.LEDGER.split("\n"), 1))))
-def ledger_lines(spark, sf_dir):
-    """The ledger of the theme care, line by line."""
-    documents, sections = fixtures.documents(spark)
-    return ledger.ledger(fixtures.THEMES[0], fixtures.record_tables(spark)[0].where("units is not null"), fixtures.registries(spark)[1], documents, sections)
+@query(Q.SEARCH)
+def search_sections(spark, sf_dir):
+    """Sections by hits of a theme, marked where a record of the theme covers them."""
+    documents, sections = T.indexed(spark, sf_dir)
+    covered = S.covered_locators(T.record_tables(spark, sf_dir, sections)[0], "care")
+    found = S.search(documents, sections, T.THEMES[1]["search_terms"], by_section=True, top=40, covered=covered)
+    return found.select(F.col("rank").cast("int").alias("rank"), "hits", "author", "locator", "done", F.array_join("path", " > ").alias("titles"), "line_start", F.col("line_end").cast("int").alias("line_end"), F.col("words").cast("int").alias("words"), "url", "total")
 
 
-@query(values(["ordinal", "line"], list(enumerate(goldens.STATUS.split("\n"), 1))))
-def status_lines(spark, sf_dir):
-    """The status report, line by line."""
-    documents, sections = fixtures.documents(spark)
-    extractions, inheritance = fixtures.record_tables(spark)
-    _, chronology, gaps = fixtures.registries(spark)
-    return status.status(fixtures.THEMES, extractions.where("units is not null"), inheritance, chronology, gaps, documents, sections)
+@query(Q.TWO_TOTALS)
+def two_hit_totals(spark, sf_dir):
+    """Hits summed over sections, and over the whole text; front matter and a phrase across a border count only in the second."""
+    documents, sections = T.indexed(spark, sf_dir)
+    terms = T.THEMES[1]["search_terms"]
+    by_section = S.section_hits(sections, terms).groupBy(F.col("file").alias("path")).agg(F.sum("hits").alias("section_hits"))
+    return S.document_hits(documents, terms).select("path", F.col("hits").alias("document_hits")).join(by_section, "path", "left").select("path", "document_hits", F.coalesce("section_hits", F.lit(0)).alias("section_hits"))
 
 
+@query(Q.OPEN)
+def theme_scores(spark, sf_dir):
+    """Documents by themes without a record of the theme; the terms of all themes are counted in one scan."""
+    documents, sections = T.indexed(spark, sf_dir)
+    hits = status.open_documents(list({t["id"]: t for t in T.THEMES}.values()), T.record_tables(spark, sf_dir, sections)[0], T.registries(spark, sf_dir)[1], documents)
+    return hits.select("path", "theme", "year", "hits")
 
 
+@query(Q.UNCOVERED)
+def top_candidates_uncovered(spark, sf_dir):
+    """Next candidates of one theme, by hits; the anti-joins come before the text is looked at."""
+    documents, sections = T.indexed(spark, sf_dir)
+    own = ledger.records_of(T.record_tables(spark, sf_dir, sections)[0], "care")
+    hits = ledger.uncovered(documents, own, T.registries(spark, sf_dir)[1], T.THEMES[1]["search_terms"])
+    return hits.orderBy(F.desc("hits"), "slug", "path").limit(25).select("slug", "path", "year", "hits")
+
+
+@query(Q.VIOLATIONS)
+def violations(spark, sf_dir):
+    """Every rule, over records and registries with planted defects."""
+    documents, sections = T.indexed(spark, sf_dir)
+    extractions, inheritance = T.record_tables(spark, sf_dir, sections)
+    stored = documents.where("slug <> 'd0'")  # the stored index lacks a document
+    return validation.validate(documents, sections, *T.registries(spark, sf_dir), documents.select("path"), extractions, inheritance, T.SCHEMAS, stored)
 
+
+@query(Q.LEDGER)
+def ledger_lines(spark, sf_dir):
+    """The ledger of the theme care, line by line."""
+    documents, sections = T.indexed(spark, sf_dir)
+    return ledger.ledger(T.THEMES[1], T.record_tables(spark, sf_dir, sections)[0], T.registries(spark, sf_dir)[1], documents, sections)
+
+
+@query(Q.STATUS)
+def status_lines(spark, sf_dir):
+    """The coverage report, line by line."""
+    documents, sections = T.indexed(spark, sf_dir)
+    extractions, inheritance = T.record_tables(spark, sf_dir, sections)
+    _, chronology, gaps = T.registries(spark, sf_dir)
+    return status.status(T.THEMES, extractions, inheritance, chronology, gaps, documents, sections)
+
+
+@query(r"""with p as (select page_id, replace(replace(html, '<h1>', '<h1 class="t" id="top">'), '<p>', '<h2 id=''p''>a <b>b</b></h2><h3>no id</h3><p>') as html from pages),
+h as (select page_id, unnest(regexp_extract_all(html, '(?is)<h([1-6])(?:\s[^>]*)?>.*?</h[1-6]>')) as h, generate_subscripts(regexp_extract_all(html, '(?is)<h([1-6])(?:\s[^>]*)?>.*?</h[1-6]>'), 1) - 1 as n from p),
+r as (select page_id, n::bigint as n, lower(h)[3]::int as level, trim(regexp_replace(regexp_replace(h, '(?s)<[^>]*>', '', 'g'), '\s+', ' ', 'g')) as title, regexp_extract(h, '(?is)^<h[1-6](?:\s[^>]*?)?\sid\s*=\s*["'']([^"'']*)["'']', 1) as anchor from h)
+select * from r where anchor <> ''""")
+def page_headings(spark, sf_dir):
+    """Headings of rendered pages that carry an id; ids and further headings are put into the pages."""
+    html = F.replace(F.replace("html", F.lit("<h1>"), F.lit('<h1 class="t" id="top">')), F.lit("<p>"), F.lit("<h2 id='p'>a <b>b</b></h2><h3>no id</h3><p>"))
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("slug"), html.alias("html"))
+    return toc.rendered_headings(pages).withColumnRenamed("slug", "page_id")
+
+
+@query("""select 'error' as severity, 'V1' as rule, 'gaps-' || item_id || '.json' as file, m.message as message from (select item_id, unnest(case when item_id % 12 = 0 then [{'message': '$.gaps[0]: lacks question'}, {'message': '$.gaps[0].status: must be one of ["open", "closed"]'}] when item_id % 3 = 0 then [{'message': '$.gaps[0].status: must be one of ["open", "closed"]'}] when item_id % 4 = 0 then [{'message': '$.gaps[0]: lacks question'}] else [] end) as m from benchmark)""")
+def registry_schema(spark, sf_dir):
+    """Schema errors of registry files, one made of each benchmark row."""
+    gap = {"type": "object", "required": ["id", "question"], "properties": {"id": {"type": "string", "minLength": 2}, "status": {"enum": ["open", "closed"]}}}
+    schema = {"$defs": {"gap": gap}, "type": "object", "properties": {"gaps": {"type": "array", "items": {"$ref": "#/$defs/gap"}}}}
+    raw = "to_json(named_struct('gaps', array(named_struct('id', concat('g', item_id), 'question', if(item_id % 4 = 0, null, 'Who?'), 'status', if(item_id % 3 = 0, 'shut', 'open')))))"
+    files = table(spark, sf_dir, "benchmark").selectExpr("concat('gaps-', item_id, '.json') path", f"{raw} raw")
+    return validation.schema_rule(files, "V1", schema).select("severity", "rule", "file", "message")

@@ -35,5 +35,19 @@ def replace_region(page: str, listing: str) -> str:
 
 
 def publishing_payloads(documents: DataFrame) -> DataFrame:
-    """What a publisher would send: slug, title, tag, create or update. Nothing is sent from here."""
-    return documents.select("slug", "title", X.author_tag(F.col("author")).alias("tag"), F.when(F.coalesce("wordpress_id", F.lit("")) == "", "create").otherwise("update").alias("action"), "wordpress_id")
+    """What a publisher would send: path, slug, title, tag, create or update. Nothing is sent from here."""
+    return documents.select("path", "slug", "title", X.author_tag(F.col("author")).alias("tag"), F.when(F.coalesce("wordpress_id", F.lit("")) == "", "create").otherwise("update").alias("action"), "wordpress_id")
+
+
+def with_new_ids(files: DataFrame, answers: DataFrame) -> DataFrame:
+    """``files(path, text)`` with the ids of ``answers(path, wordpress_id)`` in their front matter, as a publisher's answer is kept.
+
+    An id goes into the first line of front matter that is there, else into new
+    front matter; a file that has an id keeps it."""
+    named = answers.select("path", F.col("wordpress_id").alias("_new"))
+    has = F.col("text").rlike(r"(?s)\A---\n(?:(?!---\n).*?\n)??wordpress_id:")
+    own = F.concat(F.lit("wordpress_id: "), F.col("_new"), F.lit("\n"))
+    opened = F.concat(F.lit("---\n"), own, F.substr("text", F.lit(5)))
+    new = F.concat(F.lit("---\n"), own, F.lit("---\n"), "text")
+    text = F.when(F.col("_new").isNull() | has, F.col("text")).when(F.startswith("text", F.lit("---\n")), opened).otherwise(new)
+    return files.join(named, "path", "left").withColumn("text", text).drop("_new")

@@ -1,99 +1,93 @@
-"""The status report: what is covered, stale, undated or open, as ordered lines."""
+"""The coverage report: what is read, what to read next, what is old, undated or open, as ordered lines.
+
+The terms of all themes are counted in one scan of the documents.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions import text as X
+from folioscope.functions.terms import count_terms
 from folioscope.operators.validation import with_documents
-from folioscope.plans.ledger import fragment, last_entry, numbered, uncovered
+from folioscope.plans.ledger import fragment, last_entry, numbered
 
 CANDIDATES = 6
 
 
-def s(c: str):
+def s(c: str) -> Column:
     return F.col(c).cast("string")
 
 
-def candidates(documents: DataFrame, records: DataFrame, chronology: DataFrame, terms: list[str]) -> DataFrame:
-    """uncovered() with rank: hits descending, then corpus order (author, file), and total."""
-    order = Window.partitionBy().orderBy(F.desc("hits"), "author", "path")
-    return uncovered(documents, records, chronology, terms).withColumn("rank", F.row_number().over(order)).withColumn("total", F.count(F.lit(1)).over(Window.partitionBy()))
+def cells(*columns: Column) -> Column:
+    """A table row."""
+    parts = [x for c in columns for x in (F.lit(" | "), c)][1:]
+    return F.concat(F.lit("| "), *parts, F.lit(" |"))
+
+
+def theme_rows(spark, themes: list[dict]) -> DataFrame:
+    """(at, theme, english) of the authored registry, by id."""
+    ordered = sorted(themes, key=lambda t: t["id"])
+    return spark.createDataFrame([(i, t["id"], t["english"]) for i, t in enumerate(ordered)], "at int, theme string, english string")
+
+
+def open_documents(themes: list[dict], records: DataFrame, chronology: DataFrame, documents: DataFrame) -> DataFrame:
+    """(theme, slug, author, path, year, hits): documents with a theme's terms but no record of it, one scan for all themes."""
+    entries = last_entry(chronology).select(F.col("commentary").alias("slug"), "role", X.first_year(F.col("strata")).alias("year"))
+    counted = F.filter(F.array(*(F.struct(F.lit(t["id"]).alias("theme"), count_terms(F.col("norm_text"), t["search_terms"]).alias("hits")) for t in themes)), lambda x: x["hits"] > 0)
+    docs = documents.join(entries, "slug", "left").where("coalesce(role, '') <> 'output'")
+    each = docs.select("slug", "author", "path", "year", F.explode(counted).alias("t")).select("slug", "author", "path", "year", "t.theme", "t.hits")
+    return each.join(records.select(F.col("commentary").alias("slug"), "theme").distinct(), ["slug", "theme"], "left_anti")
+
 
+def candidates(hits: DataFrame) -> DataFrame:
+    """The first ``CANDIDATES`` of each theme: hits falling, then author and file."""
+    order = Window.partitionBy("theme").orderBy(F.desc("hits"), "author", "path")
+    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= CANDIDATES)
 
-def theme_lines(at: int, theme: dict, records: DataFrame, chronology: DataFrame, documents: DataFrame) -> list[DataFrame]:
-    own = records.where(F.col("theme") == theme["id"])
-    n = with_documents(own, documents).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("units")), F.lit(0)).alias("u"), F.coalesce(F.sum(F.size("absences")), F.lit(0)).alias("a"), F.count_if("stale").alias("stale"), F.count_if(F.col("coverage") == "partial").alias("partial"))
-    head = F.concat(s("n"), F.lit(" commentar"), F.when(F.col("n") == 1, "y").otherwise("ies"), F.lit(" extracted · "), s("u"), F.lit(" units · "), s("a"), F.lit(" absences"), F.when(F.col("stale") > 0, F.concat(F.lit(" · "), s("stale"), F.lit(" stale"))).otherwise(""), F.when(F.col("partial") > 0, F.concat(F.lit(" · "), s("partial"), F.lit(" partial"))).otherwise(""))
-    next_ones = candidates(documents, own, chronology, theme["search_terms"])
-    line = F.concat(F.lit("- [ ] `"), "slug", F.lit("` ("), F.coalesce(s("year"), F.lit("undated")), F.lit(") - "), s("hits"), F.lit(" hits"))
-    any_left = next_ones.agg(F.count(F.lit(1)).alias("left"))
-    state = any_left.crossJoin(n)
-    return [
-        fragment(n, [1, at, 0], F.array(F.lit(f"### {theme['id']} - {theme['english']}"), F.lit(""), head, F.lit(""))),
-        fragment(any_left.where("left > 0"), [1, at, 1], F.array(F.lit("Next candidates, by term density:"), F.lit(""))),
-        fragment(next_ones.where(F.col("rank") <= CANDIDATES), [1, at, 2, F.col("rank")], F.array(line)),
-        fragment(any_left.where(F.col("left") > CANDIDATES), [1, at, 3], F.array(F.concat(F.lit("- ... "), (F.col("left") - CANDIDATES).cast("string"), F.lit(f" more; see the query of theme {theme['id']}")))),
-        fragment(any_left.where("left > 0"), [1, at, 4], F.array(F.lit(""))),
-        fragment(state.where("left = 0 and n > 0"), [1, at, 5], F.array(F.lit("Every commentary carrying these terms has a record."), F.lit(""))),
-    ]
+
+def coverage(themes: list[dict], records: DataFrame, hits: DataFrame, documents: DataFrame) -> DataFrame:
+    """One row for each theme: records, units, absences, stale, partial, open."""
+    own = with_documents(records, documents).groupBy("theme").agg(F.count(F.lit(1)).alias("records"), F.sum(F.size("units")).alias("units"), F.sum(F.size("absences")).alias("absences"), F.count_if("stale").alias("stale"), F.count_if(F.col("coverage") == "partial").alias("partial"))
+    left = hits.groupBy("theme").agg(F.count(F.lit(1)).alias("open"))
+    return theme_rows(documents.sparkSession, themes).join(own, "theme", "left").join(left, "theme", "left").na.fill(0)
+
+
+def listed(df: DataFrame, part: int, head: str, none: str, line: Column, order: list[str]) -> list[DataFrame]:
+    """A headed list with one line for each row of ``df``; ``none`` where there is none."""
+    count = df.agg(F.count(F.lit(1)).alias("n"))
+    start = F.concat(F.array(F.lit(f"## {head}"), F.lit("")), F.when(F.col("n") == 0, F.array(F.lit(none))).otherwise(F.expr("cast(array() as array<string>)")))
+    return [fragment(count, [part, 0], start), fragment(df, [part, 1], F.array(line), F.concat_ws("\t", *order)), fragment(count, [part, 2], F.array(F.lit("")))]
 
 
 def status(themes: list[dict], records: DataFrame, inheritance: DataFrame, chronology: DataFrame, gaps: DataFrame, documents: DataFrame, sections: DataFrame) -> DataFrame:
     """(ordinal, line) of the report; ``themes`` are the rows of the theme registry, as dicts."""
-    one = documents.sparkSession.range(1)
+    themes = list({t["id"]: t for t in themes}.values())  # the last of two equal ids counts
+    hits = open_documents(themes, records, chronology, documents)
     size = documents.agg(F.count(F.lit(1)).alias("d"), F.coalesce(F.sum("words"), F.lit(0)).alias("w")).crossJoin(sections.agg(F.count(F.lit(1)).alias("n")))
-    corpus = F.concat(F.lit("Corpus: **"), s("d"), F.lit(" commentaries**, "), F.format_number("w", 0), F.lit(" words, "), s("n"), F.lit(" sections indexed in `records/index`."))
-    parts = [
-        fragment(size, [0], F.array(F.lit("# Synthesis status"), F.lit(""), F.lit("*Generated. Do not edit by hand.*"), F.lit(""), corpus, F.lit(""), F.lit("## Themes"), F.lit(""))),
-    ]
-    for at, theme in enumerate(sorted(themes, key=lambda t: t["id"])):
-        parts += theme_lines(at, theme, records, chronology, documents)
-
+    corpus = F.concat(s("d"), F.lit(" documents, "), s("n"), F.lit(" sections, "), s("w"), F.lit(" words"))
+    table = cells(F.concat("theme", F.lit(" ("), "english", F.lit(")")), *(s(c) for c in ("records", "units", "absences", "stale", "partial", "open")))
+    head = [F.lit(x) for x in ("## Themes", "", "| theme | records | units | absences | stale | partial | open |", "|-|-|-|-|-|-|-|")]
+    covered = coverage(themes, records, hits, documents)
+    next_line = F.concat(F.lit("- "), "theme", F.lit(" "), s("rank"), F.lit(": `"), "slug", F.lit("`, "), F.coalesce(s("year"), F.lit("no year")), F.lit(", hits: "), s("hits"))
     inh = with_documents(inheritance, documents)
-    marks = F.concat_ws(", ", F.when(F.col("stale"), "stale"), F.when(F.col("coverage") == "partial", "partial"))
-    engagement = F.concat(F.lit("- `"), "commentary", F.lit("` - "), F.size("engagements").cast("string"), F.lit(" engagements"), F.when(marks != "", F.concat(F.lit(" ("), marks, F.lit(")"))).otherwise(""))
-    n = inh.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("engagements")), F.lit(0)).alias("e"))
-    by_path = F.row_number().over(Window.partitionBy().orderBy("path"))
-    parts += [
-        fragment(one, [2], F.array(F.lit("## Inheritance index"), F.lit(""))),
-        fragment(n.where("n > 0"), [3], F.array(F.concat(s("n"), F.lit(" commentar"), F.when(F.col("n") == 1, "y").otherwise("ies"), F.lit(" · "), s("e"), F.lit(" engagements")), F.lit(""))),
-        fragment(inh.withColumn("at_path", by_path), [4, F.col("at_path")], F.array(engagement)),
-        fragment(n.where("n > 0"), [5], F.array(F.lit(""))),
-        fragment(n.where("n = 0"), [5], F.array(F.lit("No inheritance records yet."), F.lit(""))),
-    ]
-    stale = with_documents(records, documents).where("stale").join(documents.sparkSession.createDataFrame([(t["id"],) for t in themes] or [("",)], "theme string"), "theme")
-    some = stale.limit(1)
-    by_theme = F.row_number().over(Window.partitionBy().orderBy("theme", "path"))
-    parts += [
-        fragment(some, [6], F.array(F.lit("## Stale records"), F.lit(""), F.lit("The commentary changed after the pass ran. Quotes are no longer guaranteed; re-extract and update `source_sha256`."), F.lit(""))),
-        fragment(stale.withColumn("nth", by_theme), [7, F.col("nth")], F.array(F.concat(F.lit("- [ ] `records/extractions/"), "theme", F.lit("/"), "commentary", F.lit(".json`")))),
-        fragment(some, [8], F.array(F.lit(""))),
-    ]
+    mark = lambda c, name: F.when(c, name)
+    marks = F.concat_ws(", ", F.concat(F.size("engagements").cast("string"), F.lit(" engagements")), mark(F.col("stale"), "stale"), mark(F.col("coverage") == "partial", "partial"))
+    stale = with_documents(records, documents).where("stale").join(theme_rows(documents.sparkSession, themes).select("theme"), "theme")
     open_dates = last_entry(chronology).where("status = 'unresolved' and role <> 'output'")
-    by_name = F.row_number().over(Window.partitionBy().orderBy("commentary"))
-    some = open_dates.limit(1)
-    none = open_dates.agg(F.count(F.lit(1)).alias("n")).where("n = 0")
-    parts += [
-        fragment(one, [9], F.array(F.lit("## Chronology to resolve"), F.lit(""))),
-        fragment(some, [10], F.array(F.lit("These commentaries do not date their own text, so they sit off the ledger spine. Each is a reading task, not a lookup: the date belongs in the commentary first."), F.lit(""))),
-        fragment(open_dates.withColumn("nth", by_name), [11, F.col("nth")], F.array(F.concat(F.lit("- [ ] `"), "commentary", F.lit("`"), F.coalesce(F.concat(F.lit(" - "), F.nullif("note", F.lit(""))), F.lit(""))))),
-        fragment(some, [12], F.array(F.lit(""))),
-        fragment(none, [12], F.array(F.lit("Every commentary states a date for its text."), F.lit(""))),
-    ]
     left = gaps.where("status <> 'closed'")
-    by_id = F.row_number().over(Window.partitionBy().orderBy("id", "position"))
-    some, none = left.limit(1), left.agg(F.count(F.lit(1)).alias("n")).where("n = 0")
-    gap = F.concat(F.lit("- [ ] **"), "id", F.lit("** ("), "status", F.coalesce(F.concat(F.lit(", "), F.nullif("theme", F.lit(""))), F.lit("")), F.lit(") "), "question")
-    parts += [
-        fragment(one, [13], F.array(F.lit("## Open gaps"), F.lit(""))),
-        fragment(some, [14], F.array(F.lit("Flagged by a synthesis pass as unsupported by the ledgers. This is the reading queue."), F.lit(""))),
-        fragment(left.withColumn("nth", by_id), [15, F.col("nth")], F.array(gap, F.concat(F.lit("      *Needs:* "), "needs"))),
-        fragment(some, [16], F.array(F.lit(""))),
-        fragment(none, [16], F.array(F.lit("None recorded. A synthesis pass that flags no gaps has either exhausted its question or failed to look."), F.lit(""))),
-    ]
-    return numbered(parts)
+    gap = F.concat(F.lit("- "), "id", F.lit(" ("), F.concat_ws(", ", "status", F.nullif("theme", F.lit(""))), F.lit("): "), "question", F.lit(" Needs: "), "needs")
+    return numbered([
+        fragment(size, [0], F.array(F.lit("# Coverage"), F.lit(""), corpus, F.lit(""), *head)),
+        fragment(covered, [1, F.col("at")], F.array(table)),
+        fragment(documents.sparkSession.range(1), [2], F.array(F.lit(""))),
+        *listed(candidates(hits).withColumn("order", F.lpad(s("rank"), 9, "0")), 3, "To be read next", "Every document with these terms has a record.", next_line, ["theme", "order"]),
+        *listed(inh, 4, "Inheritance", "No records.", F.concat(F.lit("- `"), "commentary", F.lit("`: "), marks), ["path"]),
+        *listed(stale, 5, "Older than their documents", "None.", F.concat(F.lit("- `"), "theme", F.lit("/"), "commentary", F.lit("`")), ["theme", "path"]),
+        *listed(open_dates, 6, "No date known", "None.", F.concat(F.lit("- `"), "commentary", F.lit("`"), F.coalesce(F.concat(F.lit(": "), F.nullif("note", F.lit(""))), F.lit(""))), ["commentary"]),
+        *listed(left.withColumn("order", F.lpad(s("position"), 9, "0")), 7, "Open questions", "None.", gap, ["id", "order"]),
+    ])
 
 
 def zero_filled(items: DataFrame, key: str, values: list) -> DataFrame:
@@ -101,7 +95,3 @@ def zero_filled(items: DataFrame, key: str, values: list) -> DataFrame:
     spark = items.sparkSession
     enum = spark.createDataFrame([(v,) for v in values], f"{key} {dict(items.dtypes)[key]}")
     return enum.join(items.groupBy(key).agg(F.count(F.lit(1)).alias("n")), key, "left").select(key, F.coalesce("n", F.lit(0)).alias("n"))
-
-
-def year_of(strata):
-    return X.year_or_sentinel(X.first_year(strata))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from pathlib import Path
 
 from pyspark.sql import DataFrame
@@ -24,10 +25,26 @@ def up_to_date(lines: DataFrame, path: str) -> bool:
 
 
 def as_json(df: DataFrame) -> DataFrame:
-    """One JSON object in ``value`` for each row."""
+    """One JSON object in ``value`` for each row; nulls stay."""
     return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
 
 
+def write_json(df: DataFrame, path: str, order: list[str], key: str = "rows") -> None:
+    """The rows, in ``order``, as one indented JSON file: columns in their order, letters as they are, a line end at the end.
+
+    The rows stream through the driver one partition after the other."""
+    target = Path(path)
+    target.parent.mkdir(parents=True, exist_ok=True)
+    with target.open("w", encoding="utf-8", newline="\n") as out:
+        out.write(f'{{\n  "{key}": [')
+        first = True
+        for r in as_json(df.orderBy(*order)).toLocalIterator():
+            text = json.dumps(json.loads(r["value"]), ensure_ascii=False, indent=2)
+            out.write(("" if first else ",") + "\n    " + text.replace("\n", "\n    "))
+            first = False
+        out.write(("" if first else "\n  ") + "]\n}\n")
+
+
 def differences(expected: DataFrame, found: DataFrame) -> DataFrame:
     """Rows of either side that the other lacks, with ``side``; repeated rows count."""
     found = found.select(*expected.columns)

@@ -1,4 +1,4 @@
-"""A small invented corpus with records, for queries that the supplied tables cannot feed."""
+"""A small invented corpus with records, and the reports over it."""
 
 from __future__ import annotations
 
@@ -95,3 +95,98 @@ def record_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
         return C.typed_records(spark.createDataFrame(rows, "path string, raw string"), schema)
 
     return table("extractions", C.EXTRACTION), table("inheritance", C.INHERITANCE)
+
+
+#: The reports over this corpus, read and checked by hand.
+LEDGER = """\
+# Care, care: the records in order of time
+
+What is tended.
+
+From 3 documents: units 6, absences 2
+
+## Dated sources
+
+### The Loom's Notes, 1911-1913 to 1907 (`loom-notes`)
+
+#### First layer
+
+- introduced **care** (`care/two`): It is said that care is at work.
+  - at `loom-notes#h2-s-1-warp-and-weft`, [§ 1. Warp & Weft](https://example.org/weaver/loom-notes.html#warp--weft)
+  - > A careful hand - "steady" and slow - keeps
+
+#### Second layer
+
+- introduced **care** (`care/one`): It is said that care is at work.
+  - at `loom-notes#h1-loom`, [Loom](https://example.org/weaver/loom-notes.html#loom)
+  - > the warp is under care; the weft follows.
+
+#### No layer named
+
+- introduced **care** (`care/three`): It is said that care is at work.
+  - at `loom-notes#h2-knots-2`, [Knots](https://example.org/weaver/loom-notes.html#knots-1)
+  - > Knots slip, with great care.
+
+#### Not found
+
+- nothing at `loom-notes#h2-knots`, [Knots](https://example.org/weaver/loom-notes.html#knots)
+  - looked for since knots are tended
+- nothing at `loom-notes#h1-loom`, [Loom](https://example.org/weaver/loom-notes.html#loom)
+  - looked for since it opens the book
+  - but see below
+
+Read in part: first part only
+
+## Later readers
+
+Years here are those of the readers.
+
+### Spindle, 1950 (`spindle`)
+
+- introduced **care** (`care/one`): It is said that care is at work.
+  - at `spindle#h3-skipped-level`, [Skipped level](https://example.org/weaver/spindle.html#skipped-level)
+  - > carded wool
+
+## Without a date
+
+No year is known, so these have no place in the order above.
+
+### vat, undated (`vat`)
+
+## Not read yet
+
+Nothing: all documents with these terms have a record."""
+
+STATUS = """\
+# Coverage
+
+4 documents, 9 sections, 101 words
+
+## Themes
+
+| theme | records | units | absences | stale | partial | open |
+|-|-|-|-|-|-|-|
+| care (care) | 3 | 6 | 2 | 2 | 1 | 0 |
+| wool (wool) | 0 | 0 | 0 | 0 | 0 | 1 |
+
+## To be read next
+
+- wool 1: `spindle`, 1950, hits: 2
+
+## Inheritance
+
+- `spindle`: 1 engagements, partial
+
+## Older than their documents
+
+- `care/spindle`
+- `care/vat`
+
+## No date known
+
+- `vat`: no date given
+
+## Open questions
+
+- g2 (open, care): Who tends the vat? Needs: vat.md
+"""

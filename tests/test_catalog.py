@@ -11,7 +11,7 @@ import pytest
 from folioscope.plans import catalog
 
 SF = "/root/testdata/sf0.001"
-TABLES = "documents labels benchmark events conversations orders".split()
+TABLES = "documents labels benchmark events conversations orders pages".split()
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 

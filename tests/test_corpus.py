@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 
+import fixtures
 from folioscope.operators import search, secrets, validation
 from folioscope.operators.sections import index_documents, with_front_matter
-from folioscope.plans import catalog, fixtures, listing
+from folioscope.plans import ledger, listing, status
 from folioscope.sources import corpus, reports
 from folioscope.streaming import incremental
 
@@ -38,6 +39,19 @@ def test_files_round_trip(spark, tmp_path):
         raise AssertionError("a missing index must raise")
 
 
+def test_files_of_one_name(spark):
+    """Sections go by file; a slug stands for the last file in the order of author and name."""
+    texts = {"root/a/same.md": "# One\n\n## Two\n\nquick words here\n", "root/b/same.md": "# Other\n\n## Two\n\n## Two\n\nslow words there\n"}
+    rows = [(p, bytearray(t.encode()), t) for p, t in texts.items()]
+    documents, sections = index_documents(corpus.document_rows(spark.createDataFrame(rows, "path string, content binary, text string")))
+    got = [(r["file"], r["id"], r["line_start"], r["line_end"], " > ".join(r["path"])) for r in sections.orderBy("file", "ordinal").collect()]
+    assert got == [("a/same.md", "h1-one", 1, 2, "One"), ("a/same.md", "h2-two", 3, 6, "One > Two"), ("b/same.md", "h1-other", 1, 2, "Other"), ("b/same.md", "h2-two", 3, 4, "Other > Two"), ("b/same.md", "h2-two-2", 5, 8, "Other > Two")]
+    items = spark.createDataFrame([("r", "x", "same#h2-two", "same", "slow words", False), ("r", "y", "same#h2-two-2", "same", "slow words", False), ("r", "z", "same#h1-one", "same", "One", False)], "path string, id string, locator string, commentary string, quote string, stale boolean")
+    found = validation.quote_rules(validation.resolved(items, documents, sections)).collect()
+    assert sorted((r["rule"], r["item"]) for r in found) == [("V17", "z"), ("V18", "x")]
+    assert [(r["author"], r["hits"]) for r in search.search(documents, sections, ["words"]).orderBy("rank").collect()] == [("a", 1), ("b", 1)]
+
+
 def test_front_matter(spark):
     texts = ["---\na: 'it''s'\n a b : \"x\"\n# c: d\n\nno colon\na: last\n---\nbody", "---\na: 1\nno close", "plain", ""]
     rows = with_front_matter(spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "slug string, text string")).orderBy("slug").collect()
@@ -57,8 +71,15 @@ def test_records_and_registries(spark, tmp_path):
     assert corpus.read_registry(spark, str(tmp_path / "gaps.json"), "gaps", corpus.GAPS).isEmpty()
 
 
+def fixture_violations(spark):
+    documents, sections = fixtures.documents(spark)
+    extractions, inheritance = fixtures.record_tables(spark)
+    files = spark.createDataFrame([(p,) for p in fixtures.FILES], "path string")
+    return validation.validate(documents, sections, *fixtures.registries(spark), files, extractions, inheritance, fixtures.SCHEMAS)
+
+
 def test_verdict(spark):
-    found = catalog.fixture_violations(spark).cache()
+    found = fixture_violations(spark).cache()
     n = validation.verdict(found).first()
     assert (n["errors"], n["warnings"], n["failed"]) == (18, 6, True)
     warnings = found.where("severity = 'warning'")
@@ -108,11 +129,60 @@ def test_listing(spark):
     assert html.index("<summary>Dyer") < html.index("<summary>Weaver") and 'href="dyer/mordant%20book.html">Mordants' in html
     page = '<p>a</p><div class="commentary-groups">old\n</div><div class="commentary-groups">b</div>'
     assert listing.replace_region(page, r"\1") == r'<p>a</p>\1<div class="commentary-groups">b</div>'
+    files = spark.createDataFrame([("a", "---\ntitle: x\n---\nb"), ("c", "b"), ("d", "---\nwordpress_id: 4\n---\n"), ("e", "x")], "path string, text string")
+    answers = spark.createDataFrame([("a", "7"), ("c", "8"), ("d", "9")], "path string, wordpress_id string")
+    assert {r["path"]: r["text"] for r in listing.with_new_ids(files, answers).collect()} == {"a": "---\nwordpress_id: 7\ntitle: x\n---\nb", "c": "---\nwordpress_id: 8\n---\nb", "d": "---\nwordpress_id: 4\n---\n", "e": "x"}
     assert {(r["slug"], r["tag"], r["action"]) for r in listing.publishing_payloads(fixtures.documents(spark)[0]).collect()} >= {("loom-notes", "Weaver", "update"), ("vat", "Dyer", "create")}
 
 
+def fixture_ledger(spark):
+    documents, sections = fixtures.documents(spark)
+    return ledger.ledger(fixtures.THEMES[0], fixtures.record_tables(spark)[0].where("units is not null"), fixtures.registries(spark)[1], documents, sections)
+
+
+def test_reports_read_by_hand(spark):
+    assert reports.text_of(fixture_ledger(spark)) == fixtures.LEDGER
+    documents, sections = fixtures.documents(spark)
+    extractions, inheritance = fixtures.record_tables(spark)
+    lines = status.status(fixtures.THEMES, extractions.where("units is not null"), inheritance, *fixtures.registries(spark)[1:], documents, sections)
+    assert reports.text_of(lines) == fixtures.STATUS
+
+
+def test_json_export(spark, tmp_path):
+    rows = spark.createDataFrame([(2, "ü", None), (1, 'a "b"', ["x"])], "n int, t string, l array<string>")
+    reports.write_json(rows, str(tmp_path / "out" / "rows.json"), ["n"])
+    assert (tmp_path / "out" / "rows.json").read_text(encoding="utf-8") == """{
+  "rows": [
+    {
+      "n": 1,
+      "t": "a \\"b\\"",
+      "l": [
+        "x"
+      ]
+    },
+    {
+      "n": 2,
+      "t": "ü",
+      "l": null
+    }
+  ]
+}
+"""
+    reports.write_json(rows.limit(0), str(tmp_path / "none.json"), ["n"])
+    assert json.loads((tmp_path / "none.json").read_text()) == {"rows": []}
+
+
+def test_home_paths():
+    import re
+
+    found = lambda t: [m[0] for p in secrets.PATHS for m in re.finditer(p, t)]
+    assert found(r"at /home/ann/x, C:\Users\bob\y") == [r"C:\Users\bob", "/home/ann"]
+    assert found('"d:\\\\Users\\\\eve\\\\z" /Users/joe') == ["d:\\\\Users\\\\eve", "/Users/joe"]
+    assert found("/homes/x C:/Users/x") == ["/Users/x"]
+
+
 def test_check_mode(spark, tmp_path):
-    lines = catalog.QUERIES["ledger_lines"](spark, "")
+    lines = fixture_ledger(spark)
     path = tmp_path / "out" / "ledger.md"
     assert not reports.up_to_date(lines, str(path))
     reports.write_text(lines, str(path))

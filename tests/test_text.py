@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from folioscope.functions import terms
 from folioscope.functions import text as X
-from folioscope.operators.schema_check import Checker
+from folioscope.operators.schema_check import compiled, problems_of
 from folioscope.operators.toc import parents, toc_html
 
 
@@ -83,13 +85,22 @@ def test_author_tag_and_html(spark):
     assert value(spark, "<a & 'b'>", X.html_escaped) == "&lt;a &amp; &#x27;b&#x27;&gt;"
 
 
-def test_schema_keywords():
+def test_schema_keywords(spark):
     unit = {"type": "object", "required": ["id"], "additionalProperties": False, "properties": {"id": {"type": "string", "pattern": "^a$", "maxLength": 2}, "n": {"type": ["integer", "null"]}}}
-    check = Checker({"$defs": {"u": unit}, "type": "object", "properties": {"v": {"const": 1}, "k": {"enum": ["x"]}, "us": {"type": "array", "minItems": 2, "items": {"$ref": "#/$defs/u", "type": "string"}}}})
-    assert check({"v": True, "k": "x", "us": [{"id": "a"}, {"id": "a\n", "n": None, "_c": 1}]}) == []
-    assert check({"v": 2, "k": "y", "us": [{"id": 1, "n": True, "x": 0}]}) == [
-        "$.v: must be 1", "$.k: 'y' not one of ['x']", "$.us: needs at least 2 items", "$.us[0]: unexpected property 'x'", "$.us[0].id: expected string, got int", "$.us[0].n: expected integer/null, got bool"]
-    assert check([]) == ["$: expected object, got list"]
+    schema = {"$defs": {"u": unit}, "type": "object", "format": "ignored", "properties": {"v": {"const": 1}, "k": {"enum": ["x", None, 2]}, "us": {"type": "array", "minItems": 2, "items": {"$ref": "#/$defs/u", "type": "string"}}, "o'k": {"type": "number", "minLength": 9}}}
+    records = [{"v": 1.0, "k": "x", "us": [{"id": "a"}, {"id": "a\n", "n": None, "_c": 1}], "o'k": 3}, {"v": 2, "k": "y", "us": [{"id": 1, "n": True, "x": 0}]}, [], {"v": True, "us": {}}, {"k": None, "us": [{"id": "abc"}, {}, 3]}, {"k": 2.0, "o'k": "1"}]
+    got = problems_of(spark, [*map(json.dumps, records), "{", None, '{"a": 1, "a": 2}'], schema)
+    assert got == [
+        [],
+        ["$.v: must be 1", '$.k: must be one of ["x", null, 2]', "$.us: needs 2 items or more", "$.us[0]: does not know x", "$.us[0].id: is integer, must be string", "$.us[0].n: is boolean, must be integer or null"],
+        ["$: is array, must be object"],
+        ["$.v: must be 1", "$.us: is object, must be array"],
+        ["$.us[0].id: does not fit ^a$", "$.us[0].id: may have 2 characters at most", "$.us[1]: lacks id", "$.us[2]: is integer, must be object"],
+        ["$.o'k: is string, must be number"],
+        *[["$: cannot be read as JSON"]] * 3,
+    ]
+    with pytest.raises(ValueError, match="cannot compile"):
+        compiled({"$ref": "#/$defs/r"}, {"$defs": {"r": {"items": {"$ref": "#/$defs/r"}}}})
 
 
 def test_toc_nesting():
