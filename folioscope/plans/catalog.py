@@ -202,7 +202,7 @@ def quote_found(spark, sf_dir):
 def section_table(spark, sf_dir):
     """Sections of all files: ids, anchors, paths, extents, words, texts; some files share a name."""
     own = ("ordinal", "line_start", "line_end", "words")
-    sections = T.indexed(spark, sf_dir)[1]
+    sections = T.fresh_index(spark, sf_dir)[1]  # not the stored one: this query also times the building
     return sections.select("file", *(F.col(c).cast("int").alias(c) for c in own), "id", "level", "title", F.array_join("path", " > ").alias("titles"), "anchor", F.sha2("text", 256).alias("text_sha256"))
 
 

@@ -9,6 +9,8 @@ Remainders of the ids plant every kind of defect.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,14 +69,35 @@ docs as materialized (select f.*, case when doc_id % 3 = 0 then 'Doc ' || doc_id
 named as materialized (select * from docs qualify row_number() over (partition by slug order by author desc, path desc) = 1)"""
 
 
-def indexed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The stored index (documents, sections), which every report reads."""
-    files = with_front_matter(markdown(spark, sf_dir))
+def fresh_index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(documents, sections), built and stored now."""
+    files = with_front_matter(materialize(markdown(spark, sf_dir), "index-files"))
     sections = sections_of(files)
     sections = materialize(sections.withColumn("norm_text", X.normalize_quote(F.col("text"))), "index-sections")
     return materialize(documents_of(files, sections, SITE), "index-documents"), sections
 
 
+_stored: dict[tuple, tuple[DataFrame, ...]] = {}
+
+
+def kept(spark: SparkSession, sf_dir: str, what: str, build: Callable[[], tuple[DataFrame, ...]]) -> tuple[DataFrame, ...]:
+    """What ``build`` stored for these very files in this session; built again where a file has changed."""
+    stamps = []
+    for name in ("documents", "labels"):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        status = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+        stamps += [(str(x.getPath()), x.getLen(), x.getModificationTime()) for x in status]
+    key = (spark.sparkContext.applicationId, what, *stamps)
+    if key not in _stored:
+        _stored[key] = build()
+    return _stored[key]
+
+
+def indexed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The stored index (documents, sections), which all reports read; it is built once for the same files."""
+    return kept(spark, sf_dir, "index", lambda: fresh_index(spark, sf_dir))
+
+
 def registries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(themes, chronology, gaps) as the registry readers give them."""
     themes = spark.createDataFrame([(i, t["id"], t["english"], t["search_terms"], t["note"]) for i, t in enumerate(THEMES)], "position int, id string, english string, search_terms array<string>, note string")
@@ -104,7 +127,13 @@ inh as materialized (select r.doc_id, r.slug as commentary, 'inheritance/' || r.
 
 
 def record_tables(spark: SparkSession, sf_dir: str, sections: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(extractions, inheritance): the records are written as JSON and read back as files are."""
+    """(extractions, inheritance): the records are written as JSON, once for the same files, and read back as files are."""
+    stored = kept(spark, sf_dir, "records", lambda: tuple(materialize(x, "records") for x in raw_records(spark, sf_dir, sections)))
+    return tuple(C.typed_records(x, schema) for x, schema in zip(stored, (C.EXTRACTION, C.INHERITANCE), strict=True))
+
+
+def raw_records(spark: SparkSession, sf_dir: str, sections: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(path, raw) of the extraction and the inheritance files."""
     files = markdown(spark, sf_dir).select("doc_id", F.col("path").alias("file"), "slug", F.col("sha256").alias("own"))
     base = files.join(table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), "doc_id")
     theme = "case when doc_id % 31 = 0 then 'ghost' when doc_id % 3 = 0 then 'care' when doc_id % 3 = 1 then 'being' else 'path' end"
@@ -124,5 +153,4 @@ def record_tables(spark: SparkSession, sf_dir: str, sections: DataFrame) -> tupl
     extractions = whole.selectExpr(f"{place} path", f"{raw} raw")
     own = "to_json(struct(1 as schema_version, '2020-02-02' as extracted_at, slug as commentary, own as source_sha256, 'complete' as coverage, engagements))"
     inheritance = whole.where("toxic = 1 and doc_id % 10 <> 1").selectExpr("concat('inheritance/', slug, '.json') path", f"{own} raw")
-    stored = (materialize(x, "records") for x in (extractions, inheritance))
-    return tuple(C.typed_records(x, schema) for x, schema in zip(stored, (C.EXTRACTION, C.INHERITANCE), strict=True))
+    return extractions, inheritance
