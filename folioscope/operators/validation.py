@@ -16,6 +16,7 @@ from folioscope.functions import text as X
 from folioscope.functions.terms import term_present
 from folioscope.operators.schema_check import schema_problems
 from folioscope.operators.sections import by_slug
+from folioscope.sources.scratch import materialize
 
 COLUMNS = ["severity", "rule", "file", "item", "message"]
 
@@ -185,7 +186,8 @@ def validate(documents: DataFrame, sections: DataFrame, themes: DataFrame, chron
     documents table (V20)."""
     parts = [registry_rules(themes, chronology, gaps, documents, files)]
     for records, name in ((extractions, "extraction"), (inheritance, "inheritance")):
-        checked = records.withColumn("_problems", schema_problems("raw", schemas[name]))
+        # written once: four passes read it
+        checked = materialize(records.withColumn("_problems", schema_problems("raw", schemas[name])).drop("raw"), "checked-records")
         valid = with_documents(checked.where(F.size("_problems") == 0).drop("_problems"), documents)
         problems = checked.select("path", F.explode("_problems").alias("message"))
         parts += [rows(problems, "V9", "error", F.col("path"), F.lit(None).cast("string"), F.col("message")), record_rules(valid, themes if name == "extraction" else None)]
