@@ -187,13 +187,14 @@ def repeated_windows(docs: DataFrame, length: int, k: int) -> DataFrame:
     release(seeds, counted)
     # blocks whose extensions differ: window by window; a block that occurs twice weighs 2 and is settled
     part = F.struct("anchor", "low", "high", F.when(F.col("whole"), 2).otherwise(1).alias("weight"))
-    # sets, not lists: rows that share an id and a text name the same ranges
-    parts = extended.where("follow").groupBy(*KEY).agg(F.collect_set(part).alias("parts"))
+    # rows that share an id and a text name the same ranges: those are told once before they are gathered
+    each = extended.where("follow").select(*KEY, part.alias("part")).distinct()
+    parts = each.groupBy(*KEY).agg(F.collect_list("part").alias("parts"))
     near = materialize(windows(joined(docs, parts, "inner").select(*KEY, "text", "parts"), length), "sub-windows")
     twice = materialize(near.groupBy("anchor", "window").agg(F.sum("weight").alias("n"), F.max("wanted").alias("wanted")).where("n > 1 and wanted").select("anchor", "window"), "sub-twice")
     single = near.where("wanted").join(twice, ["anchor", "window"]).select(*KEY, F.col("start").alias("low"), F.col("start").alias("high"))
     ranges = extended.where("whole").select(*KEY, "low", "high").unionByName(single)
-    return materialize(ranges.groupBy(*KEY).agg(F.collect_set(F.struct("low", "high")).alias("gone")), "sub-gone")
+    return materialize(ranges.distinct().groupBy(*KEY).agg(F.collect_list(F.struct("low", "high")).alias("gone")), "sub-gone")
 
 
 def joined(docs: DataFrame, parts: DataFrame, how: str) -> DataFrame:
