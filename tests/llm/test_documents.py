@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import os
 import re
@@ -647,6 +648,66 @@ def test_long_stretches(crf, monkeypatch):
     assert pii.crf_spans([text[:20_000]], crf) == whole
 
 
+def spans_of_whole_chain(crf, text: str) -> list:
+    """``features`` of every token, and Viterbi over the whole text."""
+    cut = [m.span() for m in pii.TOKEN.finditer(text)]
+    if not cut:
+        return []
+    tokens = [text[a:b] for a, b in cut]
+    best, back = crf.emissions(tokens, 0) + crf.begin, []
+    for i in range(1, len(tokens)):
+        ways = best[:, None] + crf.move
+        back.append(ways.argmax(0))
+        best = ways.max(0) + crf.emissions(tokens, i)
+    path = [int(best.argmax())]
+    for b in reversed(back):
+        path.append(int(b[path[-1]]))
+    found = pii.spans_of(crf, text, [a for a, _ in cut], [b for _, b in cut], np.array(path[::-1]))
+    return sorted(set(found), key=lambda s: (s[1], s[2]))
+
+
+CAPITALS = ["THE END OF ALL!! THINGS!! IS NEAR.\n" * 30, "Anna Bert Carla Dora " * 40, "a\u00a0b\u2003c\x1cd\x85e \u3000 É\u00fc!", '""\'=:;,()[]{}<>|`', "Mr " * 12 + "'" * 15 + " x", "A" * 70 + " " + "ab12" * 40]
+
+
+def texts_for_crf(docs) -> list[str]:
+    more = [" ".join(t for t, _ in pii.labelled_rows()), *held_out.CLEAN.splitlines(), *(t for t, _ in pii.labelled_rows(held_out.HELD_OUT))]
+    return HARD + CAPITALS + more + [r["text"] or "" for r in docs.collect()]
+
+
+def test_every_token_is_read(docs, crf, monkeypatch):
+    texts = texts_for_crf(docs)
+    want = [spans_of_whole_chain(crf, t) for t in texts]
+    assert pii.crf_spans(texts, crf) == want
+    monkeypatch.setattr(pii, "PART", 300)
+    monkeypatch.setattr(pii, "SHORT", 5)
+    assert pii.crf_spans(texts, crf) == want
+    monkeypatch.setattr(pii, "MOST", 7)  # forgets what it met
+    monkeypatch.setattr(crf, "reader", None)
+    assert pii.crf_spans(texts, crf) == want
+
+
+def test_every_token_is_read_with_any_weights(docs, crf, monkeypatch):
+    rng, texts = np.random.default_rng(3), [t for t in texts_for_crf(docs) if len(t) < 5_000]
+    for weight in (0.0, 0.3, 0.6):  # of O; with more of it, more of the chain falls into runs
+        wild = copy.copy(crf)
+        wild.emit, wild.move, wild.reader = rng.normal(size=crf.emit.shape), rng.normal(size=crf.move.shape) + crf.never, None
+        wild.emit[:, 0] += weight
+        want = [spans_of_whole_chain(wild, t) for t in texts]
+        assert any(want)
+        for part, short in ((1 << 17, 1024), (200, 6)):
+            monkeypatch.setattr(pii, "PART", part)
+            monkeypatch.setattr(pii, "SHORT", short)
+            assert pii.crf_spans(texts, wild) == want
+
+
+def test_spans_far_from_digits_and_key_words(spark):
+    table = "agent {code:XQZZK} reports\nthe agent {code:BRRTV} is here\nan agent {code:KLMPS}, they say\nan agent of the firm\nthe agent came late\nTHE END"
+    text = "much was said before that, and then " * 20 + "our agent WRTKL came by the mill"
+    assert not list(pii.stretches(text))
+    (row,) = pii.find_personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string"), pii.labelled_rows(table)).collect()
+    assert row["spans"] == f"code:{text.index('WRTKL')}:{text.index('WRTKL') + 5}" and row["n_added"] == 1
+
+
 def test_added_spans_lie_apart():
     rng = np.random.default_rng(5)
     for _ in range(200):
