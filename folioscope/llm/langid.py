@@ -19,7 +19,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -223,22 +222,17 @@ def keep_identified(docs: DataFrame, training: DataFrame, most_phrases: float =
     samples = training_sample(training, kwargs.get("train_texts", 64), kwargs.get("train_chars", 24_000), kwargs.get("most_labels", 1000))
     shared = docs.sparkSession.sparkContext.broadcast(CrossParser(samples) if samples else None)
 
-    @F.pandas_udf("boolean")
-    def known(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def known(texts: pa.Array) -> pa.Array:
         parser = shared.value
         if parser is None:
-            return pd.Series(np.zeros(len(texts), bool))
-        out, listed, begin = np.zeros(len(texts), bool), [(t or "").replace("\x00", " ") for t in texts], 0
-        while begin < len(listed):
-            stop, size = begin, 0
-            while stop < len(listed) and (stop == begin or size + len(listed[stop]) <= 2_000_000):
-                size += len(listed[stop])
-                stop += 1
-            codes, length, letters, unseen = parser.encode(listed[begin:stop])
+            return pa.array(np.zeros(len(texts), bool))
+        out = []
+        for part in batches(iter([pa.RecordBatch.from_arrays([texts], names=["text"])]), "text", 2_000_000):  # only these are Python strings at once
+            codes, length, letters, unseen = parser.encode([t.replace("\x00", " ") for t in pc.fill_null(part.column(0), "").to_pylist()])
             fewest = parser.phrases(codes, length).min(axis=1)
             brief = (length < BRIEF) & (unseen == 0)
-            out[begin:stop] = (letters > 0) & (brief | (fewest <= most_phrases * np.maximum(length, 1)))
-            begin = stop
-        return pd.Series(out)
+            out.append((letters > 0) & (brief | (fewest <= most_phrases * np.maximum(length, 1))))
+        return pa.array(np.concatenate([np.zeros(0, bool), *out]))
 
     return docs.where(known(F.col("text")))

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.llm.components import components
-from folioscope.llm.scratch import materialize
+from folioscope.llm.scratch import materialize, materialize_in_batches
 from folioscope.llm.textvec import K1, U64, batches, grams, mix, words_of
 
 ROWS = 5  # coordinates in a band
@@ -240,7 +240,7 @@ def link_classes(reps: DataFrame, rows: DataFrame, k: int, percent: int) -> Data
     shared = banded.groupBy("key").count().where("count > 1").select("key")
     rest = materialize(banded.join(shared, "key"), "near-buckets")
     wanted = reps.join(rest.select("rep").distinct(), "rep").select("rep", "lead.doc_id", "lead.th", "lead.tk")
-    texts = materialize(packed_texts(rows, wanted), "near-texts")
+    texts = materialize_in_batches(packed_texts(rows, wanted), "near-texts")
     known, tried = None, None
     for take in (*CENTRES, None):
         if known is None:
@@ -253,7 +253,7 @@ def link_classes(reps: DataFrame, rows: DataFrame, k: int, percent: int) -> Data
         if at.isEmpty():
             return known
         if take is None:
-            links = materialize(compared_in_blocks(at, texts, k, percent), "near-links")
+            links = materialize_in_batches(compared_in_blocks(at, texts, k, percent), "near-links")
             return known if links.isEmpty() else components(merged(links, known), "near")
         order = [F.xxhash64("rep"), F.col("rep")]
         centres = at.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(*order))).where(F.col("place") <= take)
@@ -264,7 +264,7 @@ def link_classes(reps: DataFrame, rows: DataFrame, k: int, percent: int) -> Data
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "near-pairs")
-        links = materialize(verified(pairs, texts, k, percent), "near-links")
+        links = materialize_in_batches(verified(pairs, texts, k, percent), "near-links")
         if not links.isEmpty():
             known = components(merged(links, known), "near")
         tried = pairs if tried is None else tried.union(pairs)
@@ -280,7 +280,7 @@ def linked_rows(rows: DataFrame, k: int, percent: int) -> DataFrame:
     share a doc_id, or have none, are told apart.  A row without shingles is its
     own lead.  The first row is that of smallest doc_id; rows without one come last."""
     bands = bands_for(percent)
-    sketched = materialize(sketches(rows, k, bands, ROWS), "near-sketches")
+    sketched = materialize_in_batches(sketches(rows, k, bands, ROWS), "near-sketches")
     real = sketched.where("n_shingles > 0")
     name = F.struct(F.col("doc_id").isNull().alias("no_id"), *ROW, "tie")
     classes = real.groupBy("set_a", "set_b").agg(F.min(name).alias("lead"), F.first("bands").alias("bands"), F.min("n_shingles").alias("n"), F.count(F.lit(1)).alias("n_equal"))

@@ -396,6 +396,29 @@ def test_no_substrings(no_docs, docs):
     assert "kept_text" in substrings.remove_repeats(docs, with_text=True).columns
 
 
+def test_python_steps_get_small_batches(spark, monkeypatch, tmp_path):
+    """Spark hands over up to 64 MB at once, which an executor holds several times outside its heap."""
+    frame, setting, notes = type(spark.range(1)), "spark.sql.execution.arrow.maxBytesPerBatch", str(tmp_path)
+    plain, before = frame.mapInArrow, spark.conf.get(setting)
+
+    def noting(self, func, *args, **kwargs):
+        def seen(it):
+            for batch in it:
+                with open(f"{notes}/{os.getpid()}", "a") as f:
+                    f.write(f"{batch.nbytes}\n")
+                yield batch
+
+        return plain(self, lambda it: func(seen(it)), *args, **kwargs)
+
+    monkeypatch.setattr(frame, "mapInArrow", noting)
+    text = "array_join(transform(sequence(1, 250), i -> if(i = 1, md5(string(id)), md5(concat(id % 750, '-', i)))), ' ')"
+    docs = spark.range(0, 1500, 1, 1).selectExpr("id as doc_id", f"{text} as text")
+    assert {r["doc_id"] for r in neardup.keep_one_of_each(docs).collect()} == set(range(750))
+    sizes = [int(x) for p in tmp_path.iterdir() for x in p.read_text().split()]
+    assert sum(sizes) > 20_000_000 and max(sizes) < 5_000_000
+    assert spark.conf.get(setting) == before
+
+
 def test_kept_rows_stay_as_they_are(spark, docs):
     extra = docs.select("text", "lang", F.lit(1).alias("_nth"), F.lit(2).alias("_gone"), "doc_id")
     kept = neardup.keep_one_of_each(extra)
