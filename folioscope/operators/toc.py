@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import html
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def parents(levels: list[int]) -> list[int]:
@@ -32,6 +33,12 @@ def parents(levels: list[int]) -> list[int]:
     return out
 
 
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def positions(levels: pa.Array) -> pa.Array:
+    """parents() of each document's levels."""
+    return pa.array([parents(x) for x in levels.to_pylist()], pa.list_(pa.int32()))
+
+
 HEADING = r"(?is)<h([1-6])(?:\s[^>]*)?>.*?</h[1-6]>"
 ID = r"(?is)^<h[1-6](?:\s[^>]*?)?\sid\s*=\s*[\"']([^\"']*)[\"']"
 
@@ -45,16 +52,14 @@ def rendered_headings(pages: DataFrame, html_column: str = "html") -> DataFrame:
 
 
 def toc_parents(headings: DataFrame) -> DataFrame:
-    """(slug, n, level, title, anchor, parent) of ``headings(slug, n, level, title, anchor)``; a document is a group."""
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("n").reset_index(drop=True)
-        up = parents(pdf["level"].tolist())
-        pdf["parent"] = [None if p < 0 else pdf["n"][p] for p in up]
-        pdf["parent"] = pdf["parent"].astype("Int64")
-        return pdf[["slug", "n", "level", "title", "anchor", "parent"]]
-
-    return headings.groupBy("slug").applyInPandas(one, "slug string, n long, level int, title string, anchor string, parent long")
+    """(slug, n, level, title, anchor, parent) of ``headings(slug, n, level, title, anchor)``; a document is a group.
+
+    The headings of a document are one row; Python gets the levels of many documents at a time."""
+    one = headings.select("slug", F.struct(F.col("n").cast("long").alias("n"), F.col("level").cast("int").alias("level"), "title", "anchor").alias("h"))
+    rows = one.groupBy("slug").agg(F.array_sort(F.collect_list("h")).alias("h")).withColumn("up", positions("h.level"))
+    # a position, from 0, becomes the number of the heading there
+    each = rows.select("slug", F.explode(F.arrays_zip("h", F.transform("up", lambda p: F.when(p >= 0, F.get("h", p)["n"])).alias("parent"))).alias("x"))
+    return each.select("slug", "x.h.*", "x.parent")
 
 
 def toc_html(rows: list[tuple[int, int | None, str, str]]) -> str:

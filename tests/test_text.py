@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from folioscope.functions import terms
 from folioscope.functions import text as X
 from folioscope.operators.schema_check import compiled, problems_of
-from folioscope.operators.toc import parents, toc_html
+from folioscope.operators.toc import parents, toc_html, toc_parents
 
 
 def value(spark, text, expr):
@@ -107,3 +107,11 @@ def test_toc_nesting():
     assert parents([1, 2, 2, 3, 1]) == [-1, 0, 0, 2, -1]
     assert parents([3, 2, 2, 3, 1]) == [-1, 0, 0, 2, 0]
     assert toc_html([(0, None, "a", "A & B"), (1, 0, "b", "B")]) == '<ul><li><a href="#a">A &amp; B</a><ul><li><a href="#b">B</a></li></ul></li></ul>'
+
+
+def test_toc_parents_of_many_documents(spark):
+    """Rows in any order; Python gets many documents at a time, not a group for each."""
+    rows = [("a", 2, 3, "x", "x"), ("a", 1, 2, "y", "y"), ("b", 5, 1, None, "z"), (None, 7, 3, "u", "u"), (None, 9, 3, "v", "v"), ("a", 4, 3, "w", "w"), (None, 10, 6, "t", "t")]
+    found = toc_parents(spark.createDataFrame(rows, "slug string, n long, level int, title string, anchor string"))
+    assert {(r["slug"], r["n"], r["title"], r["parent"]) for r in found.collect()} == {("a", 1, "y", None), ("a", 2, "x", 1), ("a", 4, "w", 1), ("b", 5, None, None), (None, 7, "u", None), (None, 9, "v", None), (None, 10, "t", 9)}
+    assert "FlatMapGroupsInPandas" not in found._jdf.queryExecution().executedPlan().toString()
