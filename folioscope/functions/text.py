@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,22 +18,37 @@ GREEK_TO = "abgdezeiklmnxoprsstyo"
 UNDATED = 9999
 
 
-@F.pandas_udf(T.StringType())
-def nfkc(text: pd.Series) -> pd.Series:
+#: Letters that composition leaves alone whatever of them stand side by side: Latin, Greek, Cyrillic, quotes and dashes, kana,
+#: Han, Hangul syllables. The test in front is quick: long classes are slow, and nearly all characters are ASCII.
+COMPOSED = r"\x{c0}-\x{131}\x{388}-\x{3ce}\x{400}-\x{482}\x{48a}-\x{52f}\x{2012}-\x{2016}\x{2018}-\x{2023}\x{3041}-\x{3096}\x{30a1}-\x{30fa}\x{4e00}-\x{9fff}\x{ac00}-\x{d7a3}"
+NOT_COMPOSED = rf"[[^\x{{0}}-\x{{9f}}]&&[^{COMPOSED}]]"
+ROWS = 64  # texts that Python holds as objects at a time
+
+
+@F.arrow_udf(T.StringType())
+def composed(text: pa.Array) -> pa.Array:
     """Unicode compatibility composition; no built-in does it."""
-    return text.map(lambda t: None if t is None else t if t.isascii() else unicodedata.normalize("NFKC", t))
+    done = [pa.array([None if t is None else unicodedata.normalize("NFKC", t) for t in text.slice(i, ROWS).to_pylist()], pa.string()) for i in range(0, len(text), ROWS)]
+    return pa.concat_arrays(done) if done else pa.array([], pa.string())
+
+
+def nfkc(text: Column) -> Column:
+    """Unicode compatibility composition; only texts that it may change go to Python."""
+    doubtful = (F.octet_length(text) != F.length(text)) & F.rlike(text, F.lit(NOT_COMPOSED))
+    return F.coalesce(composed(F.when(doubtful, text)), text)
 
 
 @F.pandas_udf(T.StringType())
 def nfkd_plain(text: pd.Series) -> pd.Series:
-    """Compatibility decomposition without combining marks."""
+    """plain() of a column."""
+    return text.map(plain)
 
-    def plain(t: str | None) -> str | None:
-        if t is None or t.isascii():
-            return t
-        return "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
 
-    return text.map(plain)
+def plain(text: str | None) -> str | None:
+    """Compatibility decomposition without combining marks."""
+    if text is None or text.isascii():
+        return text
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
 
 
 def folded(text: Column) -> Column:
@@ -48,22 +64,31 @@ def normalize_quote(text: Column) -> Column:
 
 def section_id(title: Column, level: Column) -> Column:
     """``h<level>-<slug>``; Greek is transliterated, at most 80 characters of slug."""
-    t = nfkd_plain(F.replace(F.replace(title, F.lit("§"), F.lit("s")), F.lit("&"), F.lit(" and ")))
-    t = F.lower(t)
+    return id_of_plain(nfkd_plain(F.replace(F.replace(title, F.lit("§"), F.lit("s")), F.lit("&"), F.lit(" and "))), level)
+
+
+def id_of_plain(text: Column, level: Column) -> Column:
+    """section_id() of a title that is decomposed already."""
+    t = F.lower(text)
     for letter, pair in GREEK_PAIRS.items():
         t = F.replace(t, F.lit(letter), F.lit(pair))
     t = F.translate(t, GREEK_FROM, GREEK_TO)
     t = F.regexp_replace(F.regexp_replace(t, "[^a-z0-9]+", "-"), "^-|-$", "")
-    t = F.when(t == "", "section").otherwise(t)
+    t = F.regexp_replace(t, r"\A\z", "section")
     return F.concat(F.lit("h"), level.cast("string"), F.lit("-"), F.regexp_replace(F.substring(t, 1, 80), "-+$", ""))
 
 
 def anchor_id(title: Column) -> Column:
     """The anchor a static site makes of a heading: leading non-letters go, only plain spaces become ``-``."""
-    t = F.lower(nfkd_plain(title))
+    return anchor_of_plain(nfkd_plain(title))
+
+
+def anchor_of_plain(text: Column) -> Column:
+    """anchor_id() of a title that is decomposed already."""
+    t = F.lower(text)
     t = F.regexp_replace(F.regexp_replace(t, "^[^a-z]+", ""), r"(?U)[^a-z0-9\s-]", "")
     t = F.replace(F.regexp_replace(t, r"(?U)^\s+|\s+$", ""), F.lit(" "), F.lit("-"))
-    return F.when(t == "", "section").otherwise(t)
+    return F.regexp_replace(t, r"\A\z", "section")
 
 
 def word_count(text: Column) -> Column:

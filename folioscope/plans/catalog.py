@@ -179,7 +179,7 @@ def quote_found(spark, sf_dir):
     quotes inside its row, where they fit (QUOTES), else through a join; only
     quotes whose key it holds are looked for. Quotes too short for a key are
     looked for everywhere: they are the stated query set."""
-    docs = normalized_docs(spark, sf_dir).where("norm_text is not null").withColumn("w", F.split("norm_text", " "))
+    docs = normalized_docs(spark, sf_dir, "text").where("text is not null").withColumn("w", F.split("norm_text", " "))
     quotes = table(spark, sf_dir, "benchmark").select("item_id", X.normalize_quote(F.col("text")).alias("quote")).where("quote <> ''").withColumn("w", F.split("quote", " "))
     long_ones = quotes.where(F.size("w") >= 5).select("item_id", "quote", F.xxhash64(F.array_join(F.slice("w", 2, 3), " ")).alias("key"))
     short = quotes.where(F.size("w") < 5).select("item_id", "quote")

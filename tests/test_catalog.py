@@ -35,6 +35,14 @@ def test_equals_sql(spark, name):
     assert plain(got) == plain(want)
 
 
+def test_texts_go_to_python_once(spark):
+    """quote_found composes documents in one Python step, not in a filter and again for its columns."""
+    plan = catalog.QUERIES["quote_found"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    above = [i for i, line in enumerate(plan.splitlines()) if "ArrowEvalPython" in line]
+    documents = next(i for i, line in enumerate(plan.splitlines()) if "Relation [doc_id" in line)
+    assert sum(i < documents for i in above) == 1
+
+
 def test_entry_module(spark):
     import __spark_entry__ as e
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,6 +29,16 @@ def test_normalize_quote(spark, text, want):
     assert value(spark, text, X.normalize_quote) == want
 
 
+def test_composition_of_every_character(spark):
+    """What stays out of Python is composed already, alone and in pairs."""
+    chars = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    rows = spark.createDataFrame([(c,) for c in chars], "t string").select("t", X.nfkc(F.col("t")).alias("c"), F.rlike("t", F.lit(X.NOT_COMPOSED)).alias("odd")).collect()
+    assert [r["t"] for r in rows if r["c"] != unicodedata.normalize("NFKC", r["t"])] == []
+    fine = [r["t"] for r in rows if not r["odd"]]
+    assert len(fine) > 30_000 and all(unicodedata.is_normalized("NFKC", a + b) for b in fine for a in "aeου가하かハЕи")
+    assert all(value(spark, t, X.nfkc) == unicodedata.normalize("NFKC", t) for t in ("e\u0301", "\u1112\u1161\u11ab", "가\u11a8", "か\u3099", "ü ﬁ"))
+
+
 def test_normalize_is_idempotent(spark):
     once = value(spark, "‘A’ — B_c*d  e", X.normalize_quote)
     assert value(spark, once, X.normalize_quote) == once
