@@ -25,14 +25,17 @@ def search(documents: DataFrame, sections: DataFrame, terms: list[str], by_secti
         docs = docs.where(F.col("slug") == commentary)
     if author:
         docs = docs.where(F.col("author") == author)
-    hits = section_hits(sections.drop("slug").join(docs, "file"), terms)
+    if commentary:
+        sections = sections.where(F.col("slug") == commentary)
+    # texts stay where they are: only sections with hits, without their texts, meet the documents
+    hits = section_hits(sections, terms).drop("slug", "text", "norm_text").where(F.col("hits") >= (min_hits if by_section else 1))
     everything = Window.partitionBy()
     if not by_section:
         per_doc = hits.groupBy("file").agg(F.sum("hits").alias("hits"))
         found = docs.join(per_doc, "file", "left").withColumn("hits", F.coalesce("hits", F.lit(0)).cast("long")).where(F.col("hits") >= min_hits)
         order, keep = [F.desc("hits"), F.asc("slug"), F.asc("file")], ["hits", "author", "slug"]
     else:
-        found = hits.where(F.col("hits") >= min_hits).withColumn("locator", F.concat_ws("#", "slug", "id")).withColumn("url", F.concat_ws("#", "url", "anchor"))
+        found = hits.join(docs, "file").withColumn("locator", F.concat_ws("#", "slug", "id")).withColumn("url", F.concat_ws("#", "url", "anchor"))
         if covered is None:
             found = found.withColumn("done", F.lit(False))
         else:

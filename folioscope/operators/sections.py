@@ -1,4 +1,4 @@
-"""Documents to lines to sections, as window functions over the headings of each document.
+"""Documents to lines to sections, each document inside its own row.
 
 A document is named by its path: two authors may each have a file of one name.
 Its slug, which records use, stands for the last such file in the order of
@@ -7,8 +7,14 @@ author and file (see by_slug).
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from folioscope.functions import text as X
 
@@ -45,15 +51,58 @@ def with_front_matter(docs: DataFrame) -> DataFrame:
     return docs.withColumn("meta", F.map_from_entries(last))
 
 
-def headings(docs: DataFrame) -> DataFrame:
-    """One row for each heading outside fences: path, line_start, level, title, n_lines."""
-    lines = docs.select("path", "offset", F.size("lines").alias("n_lines"), F.posexplode("lines").alias("at", "line")).where("at >= offset")
-    # only fences and headings are carried into the window
-    kept = lines.where(F.col("line").rlike(FENCE) | F.col("line").rlike(HEADING)).withColumn("fence", F.col("line").rlike(FENCE).cast("int"))
-    before = Window.partitionBy("path").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    outside = kept.withColumn("open", F.coalesce(F.sum("fence").over(before), F.lit(0)) % 2).where("open = 0 and fence = 0")
-    title = stripped(F.regexp_replace(F.regexp_extract("line", HEADING, 2), "[*_`]", ""))
-    return outside.select("path", (F.col("at") + 1).alias("line_start"), F.length(F.regexp_extract("line", HEADING, 1)).alias("level"), title.alias("title"), "n_lines")
+HEADS = T.ArrayType(T.StructType().add("line_start", "integer").add("level", "integer").add("title", "string").add("titles", T.ArrayType(T.StringType())).add("for_id", "string").add("for_anchor", "string"))
+
+
+def outline(marks: list[dict]) -> list[dict]:
+    """The headings outside fences of one document's fences and headings, with the titles of the open ancestors and the own one."""
+    found, fenced, last = [], False, [None] * 7
+    for m in marks:
+        if m["fence"]:
+            fenced = not fenced
+        elif not fenced:
+            level, title = m["level"], m["title"]
+            last[level:] = [title, *[None] * (6 - level)]
+            plain = title.replace("§", "s").replace("&", " and ")
+            found.append({"line_start": m["at"] + 1, "level": level, "title": title, "titles": [t for t in last if t is not None], "for_id": X.plain(plain), "for_anchor": X.plain(title)})
+    return found
+
+
+@F.arrow_udf(HEADS)
+def outlines(marks: pa.Array) -> pa.Array:
+    """outline() of each document; only fences and headings come to Python."""
+    return pa.array([outline(m or []) for m in marks.to_pylist()], to_arrow_type(HEADS))
+
+
+def numbered(first: int) -> Callable[..., Column]:
+    """A function of a list of strings: those that are repeated get ``-first``, ``-first+1`` and so on."""
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def apart(names: pa.Array) -> pa.Array:
+        out = []
+        for one in names.to_pylist():
+            seen: Counter = Counter()
+            out.append([])
+            for name in one or []:
+                out[-1].append(f"{name}-{seen[name] - 1 + first}" if seen[name] else name)
+                seen[name] += 1
+        return pa.array(out, pa.list_(pa.string()))
+
+    return apart
+
+
+def with_heads(docs: DataFrame) -> DataFrame:
+    """Add heads, the headings outside fences in order, to ``docs(text)``; every document is dealt with inside its own row."""
+    docs = docs if "meta" in docs.columns else with_front_matter(docs)
+    marked = F.filter(F.transform("lines", lambda x, i: F.struct(i.alias("at"), x.alias("line"))), lambda m: (m["at"] >= F.col("offset")) & (m["line"].rlike(FENCE) | m["line"].rlike(HEADING)))
+
+    def mark(m: Column) -> Column:
+        title = stripped(F.regexp_replace(F.regexp_extract(m["line"], HEADING, 2), "[*_`]", ""))
+        return F.struct(m["at"].alias("at"), m["line"].rlike(FENCE).alias("fence"), F.length(F.regexp_extract(m["line"], HEADING, 1)).alias("level"), title.alias("title"))
+
+    marked = docs.withColumn("marks", F.transform(marked, mark)).drop("lines")
+    # the lines are split again: next to the text they would wait in the queue for Python's answers
+    return marked.withColumn("heads", outlines("marks")).drop("marks").withColumn("lines", F.split("text", "\n", -1))
 
 
 def ancestor_path(order: str = "line_start", key: str = "path") -> Column:
@@ -72,29 +121,24 @@ def sections_of(docs: DataFrame) -> DataFrame:
     """Sections of ``docs(path, slug, text)``, flat: a section ends where the next heading of any level begins.
 
     Returns file, slug, ordinal, id, level, title, path (of titles), anchor,
-    line_start, line_end, words (heading left out), text (heading kept).  Only
-    headings are windowed; each document's sections are then cut from its lines
-    inside its own row."""
-    docs = docs if "meta" in docs.columns else with_front_matter(docs)
-    order = Window.partitionBy("path").orderBy("line_start")
-    found = headings(docs).withColumn("titles", ancestor_path()).withColumn("line_end", F.coalesce(F.lead("line_start").over(order) - 1, F.col("n_lines")))
-    found = found.withColumn("ordinal", F.row_number().over(order)).withColumn("base", X.section_id(F.col("title"), F.col("level"))).withColumn("anchor_base", X.anchor_id(F.col("title")))
-    nth_id = F.row_number().over(Window.partitionBy("path", "base").orderBy("line_start"))
-    nth_anchor = F.row_number().over(Window.partitionBy("path", "anchor_base").orderBy("line_start"))
-    found = found.withColumn("nth", nth_id).withColumn("nth_anchor", nth_anchor)
-    own_id = F.when(F.col("nth") == 1, F.col("base")).otherwise(F.concat_ws("-", "base", F.col("nth").cast("string")))
-    own_anchor = F.when(F.col("nth_anchor") == 1, F.col("anchor_base")).otherwise(F.concat_ws("-", "anchor_base", (F.col("nth_anchor") - 1).cast("string")))
-    named = found.select("path", F.struct("ordinal", own_id.alias("id"), "level", "title", "titles", own_anchor.alias("anchor"), "line_start", "line_end").alias("s"))
-    per_file = named.groupBy("path").agg(F.collect_list("s").alias("all"))  # the headings of one file
-    joined = docs.select("path", "slug", "lines").join(per_file, "path")
-
-    def cut(s: Column) -> Column:
-        own = F.slice("lines", s["line_start"], s["line_end"] - s["line_start"] + 1)
-        body = F.slice("lines", s["line_start"] + 1, F.greatest(s["line_end"] - s["line_start"], F.lit(0)))
-        return F.struct(s.alias("s"), X.word_count(F.array_join(body, "\n")).alias("words"), F.array_join(own, "\n").alias("text"))
-
-    each = joined.select(F.col("path").alias("file"), "slug", F.explode(F.transform("all", cut)).alias("c"))
-    return each.select("file", "slug", "c.s.ordinal", "c.s.id", "c.s.level", "c.s.title", F.col("c.s.titles").alias("path"), "c.s.anchor", "c.s.line_start", "c.s.line_end", "c.words", "c.text")
+    line_start, line_end, words (heading left out), text (heading kept).  A
+    document's sections are found and cut inside its own row: no text is
+    exchanged."""
+    docs = docs if "heads" in docs.columns else with_heads(docs)
+    # the names go to Python and come back numbered: kept beside it, Spark would work them out twice
+    ids, anchors = F.transform("heads", lambda h: X.id_of_plain(h["for_id"], h["level"])), F.transform("heads", lambda h: X.anchor_of_plain(h["for_anchor"]))
+    named = docs.withColumn("ids", numbered(2)(ids)).withColumn("anchors", numbered(1)(anchors))
+    ends = F.transform(F.slice("heads", 2, F.greatest(F.size("heads"), F.lit(0))), lambda h: h["line_start"] - 1)  # of all but the last
+    lined = named.select("path", "slug", F.arrays_zip("heads", "ids", "anchors", ends.alias("end")).alias("all"), F.split("text", "\n", -1).alias("lines"))
+
+    def cut(s: Column, i: Column) -> Column:
+        h = s["heads"]
+        end = F.coalesce(s["end"], F.size("lines"))
+        own = F.slice("lines", h["line_start"], end - h["line_start"] + 1)
+        body = F.slice("lines", h["line_start"] + 1, F.greatest(end - h["line_start"], F.lit(0)))
+        return F.struct((i + 1).alias("ordinal"), s["ids"].alias("id"), h["level"].alias("level"), h["title"].alias("title"), h["titles"].alias("path"), s["anchors"].alias("anchor"), h["line_start"].alias("line_start"), end.alias("line_end"), X.word_count(F.array_join(body, "\n")).alias("words"), F.array_join(own, "\n").alias("text"))
+
+    return lined.select(F.col("path").alias("file"), "slug", F.explode(F.transform("all", cut)).alias("c")).select("file", "slug", "c.*")
 
 
 def by_slug(documents: DataFrame) -> DataFrame:
@@ -103,25 +147,24 @@ def by_slug(documents: DataFrame) -> DataFrame:
     return documents.withColumn("_nth", last).where("_nth = 1").drop("_nth")
 
 
-def documents_of(docs: DataFrame, sections: DataFrame, site: str = "") -> DataFrame:
-    """The documents of ``docs(author, slug, path, sha256, text)`` whose sections are known.
+def documents_of(docs: DataFrame, site: str = "") -> DataFrame:
+    """The documents of ``docs(author, slug, path, sha256, text)``.
 
     A document's title is that of its front matter, else its first heading of
     level 1, else its slug; an empty title falls through."""
-    docs = docs if "meta" in docs.columns else with_front_matter(docs)
-    first = sections.where("level = 1").groupBy("file").agg(F.min_by("title", "line_start").alias("h1")).withColumnRenamed("file", "path")
-    title = F.coalesce(F.nullif(F.try_element_at("meta", F.lit("title")), F.lit("")), F.nullif("h1", F.lit("")), "slug")
+    docs = docs if "heads" in docs.columns else with_heads(docs)
+    h1 = F.try_element_at(F.filter("heads", lambda h: h["level"] == 1), F.lit(1))["title"]
+    title = F.coalesce(F.nullif(F.try_element_at("meta", F.lit("title")), F.lit("")), F.nullif(h1, F.lit("")), "slug")
     url = F.concat(F.lit(site), F.regexp_replace("path", r"\.md$", ".html"))
-    return docs.join(first, "path", "left").select("slug", "path", "author", title.alias("title"), F.try_element_at("meta", F.lit("wordpress_id")).alias("wordpress_id"), "sha256", F.size("lines").alias("lines"), X.word_count(F.col("text")).alias("words"), url.alias("url"), X.normalize_quote(F.col("text")).alias("norm_text"))
+    return docs.select("slug", "path", "author", title.alias("title"), F.try_element_at("meta", F.lit("wordpress_id")).alias("wordpress_id"), "sha256", F.size("lines").alias("lines"), X.word_count(F.col("text")).alias("words"), url.alias("url"), X.normalize_quote(F.col("text")).alias("norm_text"))
 
 
 def index_documents(docs: DataFrame, site: str = "") -> tuple[DataFrame, DataFrame]:
     """(documents, sections) of ``docs(author, slug, path, sha256, text)``.
 
     Both tables carry norm_text, so that no query normalizes again."""
-    docs = with_front_matter(docs)
-    sections = sections_of(docs)
-    return documents_of(docs, sections, site), sections.withColumn("norm_text", X.normalize_quote(F.col("text")))
+    docs = with_heads(docs)
+    return documents_of(docs, site), sections_of(docs).withColumn("norm_text", X.normalize_quote(F.col("text")))
 
 
 def totals(documents: DataFrame, sections: DataFrame) -> DataFrame:

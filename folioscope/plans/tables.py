@@ -14,8 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.functions import text as X
-from folioscope.operators.sections import documents_of, sections_of, with_front_matter
+from folioscope.operators.sections import index_documents
 from folioscope.sources import corpus as C
 from folioscope.sources.scratch import materialize
 
@@ -71,10 +70,8 @@ named as materialized (select * from docs qualify row_number() over (partition b
 
 def fresh_index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(documents, sections), built and stored now."""
-    files = with_front_matter(materialize(markdown(spark, sf_dir), "index-files"))
-    sections = sections_of(files)
-    sections = materialize(sections.withColumn("norm_text", X.normalize_quote(F.col("text"))), "index-sections")
-    return materialize(documents_of(files, sections, SITE), "index-documents"), sections
+    documents, sections = index_documents(markdown(spark, sf_dir), SITE)
+    return materialize(documents, "index-documents"), materialize(sections, "index-sections")
 
 
 _stored: dict[tuple, tuple[DataFrame, ...]] = {}
@@ -138,7 +135,7 @@ def raw_records(spark: SparkSession, sf_dir: str, sections: DataFrame) -> tuple[
     base = files.join(table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), "doc_id")
     theme = "case when doc_id % 31 = 0 then 'ghost' when doc_id % 3 = 0 then 'care' when doc_id % 3 = 1 then 'being' else 'path' end"
     base = base.selectExpr("*", f"{theme} theme", "if(doc_id % 47 = 3, concat('gone', doc_id), slug) commentary")
-    each = sections.where("ordinal <= 3").select("file", "ordinal", F.col("id").alias("sid"), "text").join(base, "file")
+    each = sections.where("ordinal <= 3").select("file", "ordinal", F.col("id").alias("sid"), F.substring("text", 1, 40).alias("text")).join(base, "file")
     unit = """named_struct('ordinal', ordinal, 'u', named_struct('id', case when doc_id % 8 = 0 and ordinal = 1 then concat(theme, '/dup') when doc_id % 14 = 3 and ordinal = 2 then concat('x/', doc_id) else concat(theme, '/', doc_id, '-', ordinal) end,
         'locator', case when doc_id % 11 = 0 and ordinal = 2 then 'nowhere#x' when doc_id % 13 = 0 and ordinal = 3 then concat(slug, '#none') when doc_id % 17 = 0 and ordinal = 1 then 'nohash' else concat(slug, '#', sid) end, 'primary_locator', if(ordinal = 2, concat('p. ', doc_id), null),
         'stratum', case when doc_id % 4 = 1 and ordinal = 1 then concat('s', doc_id, 'b') when doc_id % 4 in (1, 2) and ordinal < 3 then concat('s', doc_id, 'a') when doc_id % 4 = 3 and ordinal = 1 then 'zz' when doc_id % 4 = 3 and ordinal = 2 then 's2a' end,

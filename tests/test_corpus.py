@@ -52,6 +52,23 @@ def test_files_of_one_name(spark):
     assert [(r["author"], r["hits"]) for r in search.search(documents, sections, ["words"]).orderBy("rank").collect()] == [("a", 1), ("b", 1)]
 
 
+def test_texts_are_not_exchanged(spark):
+    """The index is made inside each document's row; a search sends no text around."""
+    texts = {f"root/a/{i}.md": f"# One\n\n```\n# no\n```\n## Two\n\nword {i}\n# One\n" for i in range(3)} | {"root/b/none.md": "no heading\n", "root/b/open.md": "~~~\n# no\n"}
+    rows = [(p, bytearray(t.encode()), t) for p, t in texts.items()]
+    documents, sections = index_documents(corpus.document_rows(spark.createDataFrame(rows, "path string, content binary, text string")))
+    for made in (documents, sections):
+        assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in documents.select("path", "title").collect()) == [("a/0.md", "One"), ("a/1.md", "One"), ("a/2.md", "One"), ("b/none.md", "none"), ("b/open.md", "open")]
+    assert [(r["file"], r["ordinal"], r["id"], r["anchor"], r["line_start"], r["line_end"], r["words"]) for r in sections.where("file <> 'a/0.md'").orderBy("file", "ordinal").collect()] == [(f"a/{i}.md", *s) for i in (1, 2) for s in [(1, "h1-one", "one", 1, 5, 4), (2, "h2-two", "two", 6, 8, 2), (3, "h1-one-2", "one-1", 9, 10, 0)]]
+    for by_section in (False, True):
+        plan = search.search(documents, sections, ["word"], by_section)._jdf.queryExecution().optimizedPlan().toString()
+        joined = [line for line in plan.splitlines() if "Join" in line]
+        assert joined and search.search(documents, sections, ["word"], by_section).count() == 3
+        for below in plan.split("Join")[1:]:
+            assert "norm_text" not in below.splitlines()[1]
+
+
 def test_front_matter(spark):
     texts = ["---\na: 'it''s'\n a b : \"x\"\n# c: d\n\nno colon\na: last\n---\nbody", "---\na: 1\nno close", "plain", ""]
     rows = with_front_matter(spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "slug string, text string")).orderBy("slug").collect()
