@@ -94,7 +94,9 @@ def numbered(first: int) -> Callable[..., Column]:
 def with_heads(docs: DataFrame) -> DataFrame:
     """Add heads, the headings outside fences in order, to ``docs(text)``; every document is dealt with inside its own row."""
     docs = docs if "meta" in docs.columns else with_front_matter(docs)
-    marked = F.filter(F.transform("lines", lambda x, i: F.struct(i.alias("at"), x.alias("line"))), lambda m: (m["at"] >= F.col("offset")) & (m["line"].rlike(FENCE) | m["line"].rlike(HEADING)))
+    # the front matter is cut off first: named inside the function, offset would be worked out anew for each line
+    body = F.slice(F.transform("lines", lambda x, i: F.struct(i.alias("at"), x.alias("line"))), F.col("offset") + 1, F.greatest(F.size("lines"), F.lit(0)))
+    marked = F.filter(body, lambda m: m["line"].rlike(FENCE) | m["line"].rlike(HEADING))
 
     def mark(m: Column) -> Column:
         title = stripped(F.regexp_replace(F.regexp_extract(m["line"], HEADING, 2), "[*_`]", ""))
